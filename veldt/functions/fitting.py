@@ -6,7 +6,7 @@ no join and stays inside generated code.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,3 +18,45 @@ def fit_row(train: DataFrame, stats: dict[str, Column]) -> dict:
 def literal(value) -> Column:
     """A fitted number as a double literal (NULL stays NULL)."""
     return F.lit(None if value is None else float(value)).cast("double")
+
+
+def small_frame(spark: SparkSession, columns: dict[str, str], rows: list[tuple]) -> DataFrame:
+    """A few fitted numbers as a DataFrame, built from literals (no Python workers)."""
+    cells = [
+        F.struct(*[F.lit(v).cast(kind).alias(n) for v, (n, kind) in zip(row, columns.items())])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*cells)))
+
+
+def lookup(values: dict, kind: str, key: Column) -> Column:
+    """A fitted value per category as a literal map; categories not fitted give NULL."""
+    if not values:
+        return F.lit(None).cast(kind)
+    pairs = [F.lit(x) for pair in values.items() for x in pair]
+    return F.try_element_at(F.create_map(*pairs), key).cast(kind)
+
+
+MAX_CATEGORIES = 10_000
+
+
+def fit_categories(train: DataFrame, column: str) -> list:
+    """Sorted categories of a column that is used one category at a time; refuses free text."""
+    rows = (
+        train.filter(F.col(column).isNotNull())
+        .select(column)
+        .distinct()
+        .limit(MAX_CATEGORIES + 1)
+        .collect()
+    )
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories")
+    return sorted(r[0] for r in rows)
+
+
+def fit_counts(train: DataFrame, column: str) -> dict:
+    """Rows per class; the same guard on the number of classes."""
+    counts = train.groupBy(column).count().limit(MAX_CATEGORIES + 1).collect()
+    if len(counts) > MAX_CATEGORIES:
+        raise ValueError(f"{column} has more than {MAX_CATEGORIES} classes")
+    return {r[0]: r["count"] for r in counts if r[0] is not None}

@@ -14,7 +14,7 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 @query(
     "group_agg",
     """SELECT l_returnflag, l_linestatus, sum(l_quantity) AS quantity,
-round(sum(l_extendedprice * (1 - l_discount)), 2) AS net, round(avg(l_discount), 6) AS discount,
+round(sum(l_extendedprice * (1 - l_discount)), 4) AS net, round(avg(l_discount), 6) AS discount,
 count(*) AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '2000-09-02'
 GROUP BY 1, 2 HAVING count(*) > 10""",
 )
@@ -28,7 +28,7 @@ def group_agg(spark, folder):
         ["l_returnflag", "l_linestatus"],
         {
             "quantity": F.sum("l_quantity"),
-            "net": F.round(F.sum(net), 2),
+            "net": F.round(F.sum(net), 4),
             "discount": F.round(F.avg("l_discount"), 6),
             "n": F.count(F.lit(1)),
         },

@@ -152,7 +152,7 @@ def build_fact(spark, folder):
 
 STAR_SQL = (
     DIMS
-    + """SELECT c_mktsegment, p_brand, order_year, round(sum(revenue), 2) AS revenue,
+    + """SELECT c_mktsegment, p_brand, order_year, round(sum(revenue), 4) AS revenue,
 sum(l_quantity) AS quantity, count(*) AS n FROM f JOIN dc USING (customer_sk) JOIN dp USING (part_sk)
 JOIN dd USING (date_sk) GROUP BY 1, 2, 3"""
 )
@@ -174,7 +174,7 @@ def star_query(spark, folder):
             "n": F.count(F.lit(1)),
         },
     )
-    return rounded(out, 2)
+    return rounded(out, 4)
 
 
 @query(

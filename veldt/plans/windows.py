@@ -11,7 +11,9 @@ from veldt.operators.metrics import rounded
 from veldt.plans.registry import query, table
 from veldt.sources.tabular import register
 
-BY_TIME = [F.asc_nulls_last("ts"), F.asc_nulls_last("event_id")]
+
+def by_time():
+    return [F.asc_nulls_last("ts"), F.asc_nulls_last("event_id")]
 
 
 @query(
@@ -39,7 +41,7 @@ round(coalesce((value - previous) / nullif(previous, 0), 0), 6) AS simple_return
 )
 def win_lag_return(spark, folder):
     ticks = table(spark, folder, "events").select("event_type", "event_id", "ts", "value")
-    out = w.returns(ticks, ["event_type"], BY_TIME, "value")
+    out = w.returns(ticks, ["event_type"], by_time(), "value")
     return rounded(
         out.na.fill(0.0, ["previous", "change", "simple_return"]).drop("ts", "value")
     )
@@ -55,7 +57,7 @@ AS max_7 FROM events""",
 def win_rolling(spark, folder):
     ticks = table(spark, folder, "events").select("event_type", "event_id", "ts", "value")
     out = with_preceding(
-        ticks, ["event_type"], BY_TIME, 6, {"mean_7": F.avg("value"), "max_7": F.max("value")}
+        ticks, ["event_type"], by_time(), 6, {"mean_7": F.avg("value"), "max_7": F.max("value")}
     )
     return rounded(out.drop("ts", "value"))
 

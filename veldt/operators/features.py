@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veldt.functions.columns import signed_log, width_bin
 from veldt.functions.fitting import fit_categories, fit_counts, fit_row, literal, lookup
-from veldt.functions.ordered import hashed_positions, row_numbers
+from veldt.functions.neighbours import nearest
+from veldt.functions.ordered import hashed_positions, row_numbers, same_keys
 
 
 def minmax(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFrame:
@@ -235,3 +236,49 @@ def leakage_report(
     )
     long = per_feature.unpivot(["subject"], ["mixed_values", "values"], "check", "n")
     return shared.unionByName(long)
+
+
+def smote(
+    df: DataFrame, label: str, minority, columns: list[str], key: str, k: int = 5
+) -> DataFrame:
+    """New minority rows, as many as it lacks to the largest class.
+
+    Each lies between a minority row and one of its k nearest minority rows. Which neighbour and
+    how far along comes from md5(key:copy), so a rerun gives the same rows. Run it on training
+    rows only. Result: key, copy, columns.
+    """
+    counts = fit_counts(df, label)
+    size, largest = counts[minority], max(counts.values())
+    rows = df.filter(F.col(label) == F.lit(minority)).select(
+        key, *[F.col(c).cast("double").alias(c) for c in columns]
+    )
+    reach = min(k, size - 1)
+    if reach < 1 or largest == size:
+        return rows.withColumn("copy", F.lit(0)).select(key, "copy", *columns).limit(0)
+    lacking = largest - size
+    placed = hashed_positions(rows, [], key)
+    copies = F.lit(lacking // size) + F.when(F.col("position") <= lacking % size, 1).otherwise(0)
+    drawn = placed.filter(copies > 0).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))
+    )
+    seed = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.col("copy").cast("string")))
+
+    def hex_number(start: int) -> Column:
+        return F.conv(F.substring(seed, start, 8), 16, 10).cast("long")
+
+    drawn = drawn.withColumns(
+        {"__gap": hex_number(1) / F.lit(4294967296.0), "__rank": hex_number(9) % reach + 1}
+    )
+    near = nearest(rows, columns, reach).select(
+        *[F.col(c).alias(f"__at_{c}") for c in columns],
+        *[f"near_{c}" for c in columns],
+        "from_rank",
+        "to_rank",
+    )
+    match = same_keys(drawn, near, [(c, f"__at_{c}") for c in columns])
+    match = match & F.col("__rank").between(F.col("from_rank"), F.col("to_rank"))
+    return drawn.join(near, match).select(
+        key,
+        "copy",
+        *[(F.col(c) + F.col("__gap") * (F.col(f"near_{c}") - F.col(c))).alias(c) for c in columns],
+    )

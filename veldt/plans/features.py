@@ -287,3 +287,38 @@ def leakage_guard(spark, folder):
     return f.leakage_report(
         early(rows), late, "o_custkey", ["price_band", "o_orderstatus", "o_custkey"], "y"
     )
+
+
+def transactions(spark, folder):
+    """Events with a rare planted class and two numeric features."""
+    events = table(spark, folder, "events")
+    fraud = (F.col("event_type") == "error") & (F.col("value") > 150)
+    return events.select(
+        "event_id",
+        "value",
+        F.get_json_object("props", "$.k").cast("double").alias("k"),
+        fraud.cast("int").alias("fraud"),
+    )
+
+
+@query(
+    "smote",
+    """WITH e AS (SELECT event_id, value, json_extract_string(props, '$.k')::DOUBLE AS k,
+CASE WHEN event_type = 'error' AND value > 150 THEN 1 ELSE 0 END AS fraud FROM events),
+c AS (SELECT count(*) FILTER (fraud = 1) AS s, count(*) FILTER (fraud = 0) - count(*) FILTER (fraud = 1) AS lack FROM e),
+m AS (SELECT event_id, value, k, row_number() OVER (ORDER BY md5(event_id::VARCHAR), event_id) AS p
+FROM e WHERE fraud = 1),
+n AS (SELECT a.event_id, b.value AS nv, b.k AS nk, row_number() OVER (PARTITION BY a.event_id
+ORDER BY (a.value - b.value) * (a.value - b.value) + (a.k - b.k) * (a.k - b.k), b.value, b.k) AS r
+FROM m a JOIN m b ON a.event_id <> b.event_id QUALIFY r <= 5),
+d AS (SELECT event_id, value, k,
+unnest(range(1, (lack // s + CASE WHEN p <= lack % s THEN 1 ELSE 0 END + 1)::BIGINT))::INTEGER AS copy
+FROM m, c),
+g AS (SELECT *, ('0x' || substr(md5(event_id || ':' || copy), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS gap,
+('0x' || substr(md5(event_id || ':' || copy), 9, 8))::BIGINT % 5 + 1 AS r FROM d)
+SELECT event_id, copy, round(value + gap * (nv - value), 6) AS value, round(k + gap * (nk - k), 6) AS k
+FROM g JOIN n USING (event_id, r)""",
+)
+def smote(spark, folder):
+    rows = transactions(spark, folder)
+    return rounded(f.smote(rows, "fraud", 1, ["value", "k"], "event_id", 5))

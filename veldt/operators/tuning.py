@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from veldt.functions.fitting import small_frame
 from veldt.operators.metrics import accuracy
 from veldt.operators.models import FEATURES, LABEL, assemble
-from veldt.session import spread
+from veldt.session import training_cache
 
 
 def evaluator(metric: str):
@@ -40,13 +40,33 @@ def grid_search(
     parallelism: int = 2,
 ) -> tuple[CrossValidatorModel, list[tuple[str, float, float]]]:
     """All parameter combinations over the given folds; (fitted search, [(params, mean, sd)])."""
+    return grid_search_vectors(
+        assemble(df, xs), estimator, y, FEATURES, params, metric, fold, folds, parallelism
+    )
+
+
+def grid_search_vectors(
+    df: DataFrame,
+    estimator,
+    y: str,
+    vector: str,
+    params: dict[str, list],
+    metric: str,
+    fold: str,
+    folds: int,
+    parallelism: int = 2,
+) -> tuple[CrossValidatorModel, list[tuple[str, float, float]]]:
+    """As ``grid_search``, for a frame that already holds the feature vector."""
     estimator = estimator.copy().setLabelCol(LABEL).setFeaturesCol(FEATURES)
     builder = ParamGridBuilder()
     for name, values in params.items():
         builder = builder.addGrid(estimator.getParam(name), values)
     grid = builder.build()
-    data = assemble(df.withColumn(LABEL, F.col(y).cast("double")), xs)
-    data = spread(data.select(FEATURES, LABEL, F.col(fold).cast("int").alias(fold))).persist()
+    data = df.select(
+        F.col(vector).alias(FEATURES),
+        F.col(y).cast("double").alias(LABEL),
+        F.col(fold).cast("int").alias(fold),
+    )
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=grid,
@@ -54,8 +74,9 @@ def grid_search(
         numFolds=folds,
         foldCol=fold,
         parallelism=parallelism,
-    ).fit(data)
-    data.unpersist()
+    )
+    with training_cache(data) as cached:
+        search = search.fit(cached)
     rows = []
     for combo, mean, sd in zip(grid, search.avgMetrics, search.stdMetrics):
         text = ", ".join(f"{p.name}={v}" for p, v in sorted(combo.items(), key=lambda x: x[0].name))

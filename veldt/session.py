@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,13 +46,29 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rebalance a frame that would scan in fewer tasks than there are cores.
+ROWS_PER_TASK = 25_000
 
-    Iterative fits read their input many times; a one-file table would keep them on one core.
-    A table with enough splits is returned unchanged, so nothing is shuffled at scale.
+
+@contextmanager
+def training_cache(df: DataFrame):
+    """A cached copy of ``df`` for an iterative fit, in a number of partitions that suits its rows.
+
+    Every optimizer step is a job over all partitions. A one-file table would leave cores idle, so
+    it is spread; a table too small to fill its partitions is coalesced (no shuffle). A large
+    table, with enough partitions of enough rows, stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    data = df.persist()
+    held = [data]
+    try:
+        wanted = max(1, -(-data.count() // ROWS_PER_TASK))
+        parts = data.rdd.getNumPartitions()
+        if wanted < parts:
+            data = data.coalesce(wanted)
+        elif parts < min(wanted, cores):
+            data = data.repartition(min(wanted, cores)).persist()
+            held.append(data)
+        yield data
+    finally:
+        for frame in held:
+            frame.unpersist()

@@ -33,8 +33,12 @@ def lookup(values: dict, kind: str, key: Column) -> Column:
     """A fitted value per category as a literal map; categories not fitted give NULL."""
     if not values:
         return F.lit(None).cast(kind)
-    pairs = [F.lit(x) for pair in values.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), key).cast(kind)
+    whole = all(isinstance(k, int) and not isinstance(k, bool) for k in values)
+    key_kind = "bigint" if whole else None
+    cells = []
+    for k, v in values.items():
+        cells += [F.lit(k).cast(key_kind) if key_kind else F.lit(k), F.lit(v).cast(kind)]
+    return F.try_element_at(F.create_map(*cells), key.cast(key_kind) if key_kind else key)
 
 
 MAX_CATEGORIES = 10_000

@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from veldt.functions.fitting import MAX_CATEGORIES, lookup
 from veldt.session import checkpointed
 
 LIMIT_SETTING = "spark.veldt.window.maxGroupRows"
@@ -251,6 +252,52 @@ def hashed_positions(df: DataFrame, groups: list[str], key: str) -> DataFrame:
     )
 
 
+def first_by_hash(df: DataFrame, label: str | None, key: str, wanted: Column) -> Column:
+    """A condition that holds for the first ``wanted`` rows of each class in md5(key) order.
+
+    ``wanted`` is an expression of ``group_rows``, the size of the class; ``key`` must be unique.
+    The hash at which each class is cut is found by two small jobs (counts per hash prefix, then
+    only the rows of the prefix that holds the cut). The condition itself compares a row's hash
+    with a literal, so rows are neither shuffled nor ranked.
+    """
+    groups = [label] if label else []
+    hashed = df.select(*groups, F.md5(F.col(key).cast("string")).alias("__hash"))
+    hashed = hashed.withColumn("__piece", F.substring("__hash", 1, 4))
+    pieces = hashed.groupBy(*groups, "__piece").agg(F.count(F.lit(1)).alias("__rows"))
+    everything = Window.partitionBy(*groups)
+    before = everything.orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    held = pieces.select(
+        *groups,
+        "__piece",
+        "__rows",
+        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
+        F.sum("__rows").over(everything).alias("group_rows"),
+    ).withColumn(
+        "__place", F.least(wanted.cast("long"), F.col("group_rows")) - F.col("__before")
+    )
+    found = held.filter("__place > 0 AND __place <= __rows").limit(MAX_CATEGORIES + 1).collect()
+    if len(found) > MAX_CATEGORIES:
+        raise ValueError(f"{label} has more than {MAX_CATEGORIES} classes")
+    if not found:
+        return F.lit(False)
+
+    def key_of(row):
+        return row[label] if label else True
+
+    group = F.col(label) if label else F.lit(True)
+    places = {key_of(r): r["__place"] for r in found}
+    near = hashed.filter(
+        F.col("__piece") == lookup({key_of(r): r["__piece"] for r in found}, "string", group)
+    )
+    place = F.row_number().over(Window.partitionBy(*groups).orderBy("__hash"))
+    cuts = near.withColumn("__row", place).filter(
+        F.col("__row") == lookup(places, "long", group)
+    )
+    last = {key_of(r): r["__hash"] for r in cuts.collect()}
+    own = F.md5(F.col(key).cast("string"))
+    return F.coalesce(own <= lookup(last, "string", group), F.lit(False))
+
+
 def exact_quantiles(
     df: DataFrame, columns: list[str], probabilities: list[float], by: list[str] | None = None
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from veldt.functions.columns import signed_log, width_bin
 from veldt.functions.fitting import fit_categories, fit_counts, fit_row, literal, lookup
 from veldt.functions.neighbours import nearest
-from veldt.functions.ordered import hashed_positions, row_numbers, same_keys
+from veldt.functions.ordered import first_by_hash, row_numbers, same_keys
 
 
 def minmax(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFrame:
@@ -118,10 +118,9 @@ def split(df: DataFrame, key: str, test_share: float, label: str | None = None)
 
     With ``label`` the shares hold within every class.
     """
-    placed = hashed_positions(df, [label] if label else [], key)
-    taken = F.ceil(F.lit(float(test_share)) * F.col("group_rows"))
-    where = F.when(F.col("position") <= taken, "test").otherwise("train")
-    return placed.withColumn("split", where).drop("position", "group_rows")
+    wanted = F.ceil(F.lit(float(test_share)) * F.col("group_rows"))
+    taken = first_by_hash(df, label, key, wanted)
+    return df.withColumn("split", F.when(taken, "test").otherwise("train"))
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
@@ -135,21 +134,16 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 def undersample(df: DataFrame, label: str, key: str) -> DataFrame:
     """Cut every class to the size of the smallest, keeping the first rows in md5(key) order."""
     smallest = min(fit_counts(df, label).values())
-    placed = hashed_positions(df, [label], key)
-    return placed.filter(F.col("position") <= smallest).drop("position", "group_rows")
+    return df.filter(first_by_hash(df, label, key, F.lit(smallest)))
 
 
 def oversample(df: DataFrame, label: str, key: str) -> DataFrame:
     """Repeat rows until every class has the size of the largest; ``copy`` counts from 1."""
-    largest = max(fit_counts(df, label).values())
-    placed = hashed_positions(df, [label], key)
-    size = F.col("group_rows")
-    copies = F.floor(F.lit(largest) / size) + F.when(
-        F.col("position") <= F.lit(largest) % size, 1
-    ).otherwise(0)
-    return placed.withColumn("copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))).drop(
-        "position", "group_rows"
-    )
+    counts = fit_counts(df, label)
+    largest = max(counts.values())
+    whole = lookup({c: largest // n for c, n in counts.items()}, "int", F.col(label))
+    extra = first_by_hash(df, label, key, F.lit(largest) % F.col("group_rows"))
+    return df.withColumn("copy", F.explode(F.sequence(F.lit(1), whole + extra.cast("int"))))
 
 
 def rank_features(df: DataFrame, label: str, columns: list[str], method: str) -> DataFrame:
@@ -256,11 +250,9 @@ def smote(
     if reach < 1 or largest == size:
         return rows.withColumn("copy", F.lit(0)).select(key, "copy", *columns).limit(0)
     lacking = largest - size
-    placed = hashed_positions(rows, [], key)
-    copies = F.lit(lacking // size) + F.when(F.col("position") <= lacking % size, 1).otherwise(0)
-    drawn = placed.filter(copies > 0).withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), copies.cast("int")))
-    )
+    extra = first_by_hash(rows, None, key, F.lit(lacking % size))
+    copies = F.lit(lacking // size) + extra.cast("int")
+    drawn = rows.filter(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
     seed = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.col("copy").cast("string")))
 
     def hex_number(start: int) -> Column:

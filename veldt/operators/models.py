@@ -166,32 +166,11 @@ def odds_ratios(model, xs: list[str]) -> list[tuple[str, float]]:
 def bayes(
     train: DataFrame, df: DataFrame, y: str, xs: list[str], name: str = "prediction"
 ) -> DataFrame:
-    """Gaussian naive Bayes: class moments in one aggregate, likelihoods as column expressions.
+    """Gaussian naive Bayes; classes are 0, 1, ...
 
-    A small share (1e-9) of the largest feature variance is added to every variance.
+    Spark adds 1e-9 of the largest feature variance to every variance.
     """
-    fit_counts(train, y)  # refuses a label with unbounded classes
-    stats = train.groupBy(y).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg(x).alias(f"m_{x}") for x in xs],
-        *[F.var_pop(x).alias(f"v_{x}") for x in xs],
-    )
-    classes = sorted((r.asDict() for r in stats.collect()), key=lambda r: r[y])
-    total = sum(r["n"] for r in classes)
-    widest = max(fit_row(train, {x: F.var_pop(x) for x in xs}).values())
-    scored = []
-    for r in classes:
-        likelihood = F.lit(float(np.log(r["n"] / total)))
-        for x in xs:
-            variance = r[f"v_{x}"] + 1e-9 * widest
-            gap = F.col(x) - literal(r[f"m_{x}"])
-            likelihood = (
-                likelihood
-                - F.lit(float(0.5 * np.log(2 * np.pi * variance)))
-                - gap * gap / literal(2 * variance)
-            )
-        scored.append(F.struct(likelihood.alias("score"), F.lit(r[y]).alias("class")))
-    return df.withColumn(name, F.array_max(F.array(*scored))["class"])
+    return predict(fit(C.NaiveBayes(modelType="gaussian"), train, xs, y), df, xs, name)
 
 
 def tree(train: DataFrame, y: str, xs: list[str], depth: int, bins: int = 64):

@@ -161,7 +161,8 @@ s AS (SELECT o_custkey, band, class, ln(prior) - 0.5 * ln(2 * pi() * v1) - (n -
 )
 def clf_naive_bayes(spark, folder):
     rows = credit(spark, folder)
-    return mo.bayes(rows, rows, "band", ["n", "largest"]).select("o_custkey", "band", "prediction")
+    scored = mo.bayes(rows, rows, "band", ["n", "largest"])
+    return scored.select("o_custkey", "band", F.col("prediction").cast("int").alias("prediction"))
 
 
 @query(

@@ -174,7 +174,8 @@ def p_credit_score(spark, folder):
     """Bands by naive Bayes over the whole base (see p_credit_tree for the tree)."""
     rows = credit(spark, folder)
     scored = mo.bayes(rows, rows, "band", ["n", "largest"])
-    return scored.groupBy("band", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    prediction = F.col("prediction").cast("int").alias("prediction")
+    return scored.groupBy("band", prediction).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("p_credit_tree")
@@ -327,12 +328,13 @@ def p_iot_alarms(spark, folder):
 
 @query("p_fetal_health")
 def p_fetal_health(spark, folder):
-    """Several classifiers over the embedding columns, compared on a held-out side."""
+    """Several classifiers for three planted classes of embeddings, compared on a held-out side."""
     wide = table(spark, folder, "embeddings")
     xs = [f"e{i}" for i in range(64)]
+    planted = (F.col("embedding")[0] > 0).cast("int") + (F.col("embedding")[1] > 0).cast("int")
     rows = wide.select(
         "vec_id",
-        "label",
+        planted.alias("label"),
         *[F.col("embedding")[i].cast("double").alias(x) for i, x in enumerate(xs)],
     )
     both = f.split(rows, "vec_id", 0.25, "label")

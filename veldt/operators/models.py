@@ -198,7 +198,7 @@ def boosted(
     return _binary_or_rest(estimator, train, y, xs)
 
 
-def svm(train: DataFrame, y: str, xs: list[str], reg: float = 0.01, steps: int = 30):
+def svm(train: DataFrame, y: str, xs: list[str], reg: float = 0.01, steps: int = 15):
     """Linear support vector machine; one against the rest when there are more than two classes.
 
     The hinge loss has kinks, where the optimizer tries many step lengths, each a pass over the

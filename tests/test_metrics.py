@@ -50,3 +50,10 @@ def test_cheapest_threshold_prefers_the_lower_on_ties(spark):
     df = spark.createDataFrame([(1, 0.95), (0, 0.05)], "y int, s double")
     best = m.cost_curve(df, "y", "s", [0.2, 0.5, 0.8], 1, 10).filter("is_best = 1").collect()
     assert [r["threshold"] for r in best] == [0.2]
+
+
+def test_rows_without_a_score_are_never_picked(spark):
+    df = spark.createDataFrame([(1, None), (1, 0.5), (0, float("nan")), (0, 1.0)], "y int, s double")
+    rows = {r.threshold: r for r in m.threshold_sweep(df, "y", "s", [0.5, 0.9]).collect()}
+    assert (rows[0.5].tp, rows[0.5].fp, rows[0.5].fn, rows[0.5].tn) == (1, 1, 1, 1)
+    assert (rows[0.9].tp, rows[0.9].fp, rows[0.9].fn, rows[0.9].tn) == (0, 1, 2, 1)

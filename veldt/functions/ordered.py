@@ -35,15 +35,22 @@ def same_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -
     return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
 
 
-def split_by_size(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, DataFrame | None]:
-    """(rows of groups within the limit, rows of larger groups); None stands for "no such rows"."""
+def split_by_size(
+    df: DataFrame, keys: list[str], sizes: DataFrame | int | None = None
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows of groups within the limit, rows of larger groups); None stands for "no such rows".
+
+    ``sizes`` gives the group sizes when the caller has a cheaper way to them than counting
+    ``df``: rows (keys..., __rows), or one number where there are no keys.
+    """
     limit = group_limit(df.sparkSession)
     if not keys:
-        return (None, df) if df.count() > limit else (df, None)
+        rows = df.count() if sizes is None else sizes
+        return (None, df) if rows > limit else (df, None)
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     large = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .filter(F.col("__rows") > limit)
+        sizes.filter(F.col("__rows") > limit)
         .select(*[F.col(k).alias(f"__large_{k}") for k in keys])
     )
     if large.isEmpty():
@@ -66,10 +73,17 @@ def _both(small: DataFrame | None, large: DataFrame | None) -> DataFrame:
 
 
 def running_totals(
-    df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column]
+    df: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    totals: dict[str, Column],
+    sizes: DataFrame | int | None = None,
 ) -> DataFrame:
-    """Inclusive running sums of ``totals`` within ``keys`` along ``order``."""
-    small, large = split_by_size(df, keys)
+    """Inclusive running sums of ``totals`` within ``keys`` along ``order``.
+
+    ``sizes``: see ``split_by_size``.
+    """
+    small, large = split_by_size(df, keys, sizes)
     if small is not None:
         upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         small = small.withColumns({n: F.sum(c).over(upto) for n, c in totals.items()})
@@ -318,9 +332,14 @@ def exact_quantiles(
             )
         ).alias("__cell"),
     ).select(*by, "__cell.column", "__cell.value")
-    counts = long.filter("value IS NOT NULL").groupBy(*by, "column", "value").count()
     keys = [*by, "column"]
-    located = running_totals(counts, keys, [F.col("value").asc()], {"__upto": F.col("count")})
+    known = long.filter("value IS NOT NULL")
+    counts = known.groupBy(*keys, "value").count()
+    # sketches, not the counts themselves, tell the large groups: a pass without a big shuffle
+    distinct = known.groupBy(*keys).agg(F.approx_count_distinct("value").alias("__rows"))
+    located = running_totals(
+        counts, keys, [F.col("value").asc()], {"__upto": F.col("count")}, distinct
+    )
     sizes = counts.groupBy(*keys).agg(F.sum("count").alias("__size"))
     sizes = sizes.select(*[F.col(k).alias(f"__of_{k}") for k in keys], "__size")
     joined = located.join(sizes, same_keys(located, sizes, [(k, f"__of_{k}") for k in keys]))

@@ -6,6 +6,7 @@ point and everything after the first aggregate works on distinct scores only.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,10 +94,18 @@ def _descending(df: DataFrame, label: str, score: str) -> tuple[DataFrame, int,
     counts = score_counts(df, label, score)
     sizes = fit_row(
         df,
-        {"p": F.sum(F.col(label).cast("long")), "n": F.sum(1 - F.col(label).cast("long"))},
+        {
+            "p": F.sum(F.col(label).cast("long")),
+            "n": F.sum(1 - F.col(label).cast("long")),
+            "scores": F.approx_count_distinct(score),
+        },
     )
     running = running_totals(
-        counts, [], [F.col("score").desc()], {"tp": F.col("pos"), "fp": F.col("neg")}
+        counts,
+        [],
+        [F.col("score").desc()],
+        {"tp": F.col("pos"), "fp": F.col("neg")},
+        sizes["scores"],
     )
     return running, sizes["p"] or 0, sizes["n"] or 0
 
@@ -139,14 +148,23 @@ def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
 def threshold_sweep(df: DataFrame, label: str, score: str, grid: list[float]) -> DataFrame:
     """Confusion counts and rates when predicting positive at score >= threshold.
 
-    Each row is counted once, in the highest grid step it reaches; suffix sums over the grid
+    A row is counted once, in the highest grid step it reaches (found by binary search); suffix sums over the grid
     (never larger than the grid itself) give the counts. No row is repeated per threshold.
     """
-    grid = sorted(grid)
-    reached = sum((F.col(score) >= F.lit(t)).cast("int") for t in grid)
-    positive = F.col(label).cast("long")
-    steps = df.groupBy(reached.alias("step")).agg(
-        F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
+    grid = sorted(set(grid))
+    bucketizer = Bucketizer(
+        splits=[-float("inf"), *grid, float("inf")],
+        inputCol="__score",
+        outputCol="__bucket",
+        handleInvalid="keep",
+    )
+    scores = df.select(F.col(label).cast("long").alias("__y"), F.col(score).cast("double").alias("__score"))
+    # not-a-number lands in a bucket past the last one, NULL in none; neither reaches a threshold
+    step = F.coalesce(F.col("__bucket") % (len(grid) + 1), F.lit(0)).cast("int")
+    steps = (
+        bucketizer.transform(scores)
+        .groupBy(step.alias("step"))
+        .agg(F.sum("__y").alias("pos"), F.sum(1 - F.col("__y")).alias("neg"))
     )
     axis = F.array(F.lit(None).cast("double"), *[F.lit(float(t)) for t in grid])
     thresholds = df.sparkSession.range(1).select(F.posexplode(axis).alias("step", "threshold"))

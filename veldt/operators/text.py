@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from veldt.functions.columns import letters_only
 from veldt.functions.fitting import literal
+from veldt.session import scattered
 
 # fixed values: small stop-word lists for the languages of the texts
 STOP_WORDS = {
@@ -33,7 +34,7 @@ def tokens(
         if stop_words
         else F.length(w) >= min_length,
     )
-    return df.select(key, F.explode(kept).alias("term"))
+    return scattered(df.select(key, column)).select(key, F.explode(kept).alias("term"))
 
 
 def tfidf(
@@ -50,7 +51,8 @@ def tfidf(
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    spread = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # reading tf here keeps both uses of the counts alike, so their shuffle runs once and is reused
+    spread = counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     idf = spread.select("term", (F.log(literal(1 + documents) / (1 + F.col("df"))) + 1).alias("idf"))
     raw = counts.join(idf, "term").withColumn("raw", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))

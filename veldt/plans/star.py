@@ -108,18 +108,23 @@ def dim_date(spark, folder):
     return s.dimension(days, ["day"], ["order_year"], "date_sk")
 
 
-def sales_fact(spark, folder):
+def sales_dimensions(spark, folder) -> dict:
+    """Surrogate key -> (dimension, its keys on the fact side)."""
+    return {
+        "customer_sk": (dim_customer(spark, folder), {"o_custkey": "c_custkey"}),
+        "part_sk": (dim_part(spark, folder), {"l_partkey": "p_partkey"}),
+        "date_sk": (dim_date(spark, folder), {"o_orderdate": "day"}),
+    }
+
+
+def sales_fact(spark, folder, dimensions: dict):
     lines = table(spark, folder, "lineitem").join(
         table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     revenue = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return s.fact(
         lines.withColumn("revenue", revenue),
-        [
-            (dim_customer(spark, folder), {"o_custkey": "c_custkey"}, "customer_sk"),
-            (dim_part(spark, folder), {"l_partkey": "p_partkey"}, "part_sk"),
-            (dim_date(spark, folder), {"o_orderdate": "day"}, "date_sk"),
-        ],
+        [(dim, pairs, key) for key, (dim, pairs) in dimensions.items()],
         ["l_quantity", "revenue"],
     )
 
@@ -147,7 +152,7 @@ def build_dimension(spark, folder):
     + """SELECT customer_sk, part_sk, date_sk, l_quantity, round(revenue, 4) AS revenue FROM f""",
 )
 def build_fact(spark, folder):
-    return rounded(sales_fact(spark, folder), 4)
+    return rounded(sales_fact(spark, folder, sales_dimensions(spark, folder)), 4)
 
 
 STAR_SQL = (
@@ -160,13 +165,10 @@ JOIN dd USING (date_sk) GROUP BY 1, 2, 3"""
 
 @query("star_query", STAR_SQL)
 def star_query(spark, folder):
+    dimensions = sales_dimensions(spark, folder)
     out = s.star(
-        sales_fact(spark, folder),
-        [
-            (dim_customer(spark, folder), "customer_sk"),
-            (dim_part(spark, folder), "part_sk"),
-            (dim_date(spark, folder), "date_sk"),
-        ],
+        sales_fact(spark, folder, dimensions),
+        [(dim, key) for key, (dim, _) in dimensions.items()],
         ["c_mktsegment", "p_brand", "order_year"],
         {
             "revenue": F.sum("revenue"),

@@ -16,6 +16,7 @@ def local_session(cpus: str | int = 8, memory: str = "12g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
@@ -46,6 +47,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def scattered(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, when its files have fewer splits than there are cores.
+
+    For steps that multiply rows (words of a text) right after a scan. A large table has splits
+    enough and is returned unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 ROWS_PER_TASK = 25_000
 
 

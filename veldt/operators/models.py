@@ -198,13 +198,9 @@ def boosted(
     return _binary_or_rest(estimator, train, y, xs)
 
 
-def svm(train: DataFrame, y: str, xs: list[str], reg: float = 0.01, steps: int = 15):
-    """Linear support vector machine; one against the rest when there are more than two classes.
-
-    The hinge loss has kinks, where the optimizer tries many step lengths, each a pass over the
-    rows. A tolerance of 0.001 saves most of them and leaves the loss equal to four digits.
-    """
-    return _binary_or_rest(C.LinearSVC(regParam=reg, maxIter=steps, tol=1e-3), train, y, xs)
+def svm(train: DataFrame, y: str, xs: list[str], reg: float = 0.01):
+    """Linear support vector machine; one against the rest when there are more than two classes."""
+    return _binary_or_rest(machine(reg), train, y, xs)
 
 
 def _binary_or_rest(estimator, train: DataFrame, y: str, xs: list[str]):
@@ -213,15 +209,20 @@ def _binary_or_rest(estimator, train: DataFrame, y: str, xs: list[str]):
     return fit(estimator, train, xs, y)
 
 
-def out_of_fold(
-    df: DataFrame, y: str, xs: list[str], fold: str, folds: int, score: str = "margin"
-) -> DataFrame:
-    """Linear margins of every row from a model that did not see its fold."""
-    parts = []
-    for i in range(folds):
-        model = svm(df.filter(F.col(fold) != i), y, xs)
-        parts.append(predict(model, df.filter(F.col(fold) == i), xs, "__class", score).drop("__class"))
-    return reduce(DataFrame.unionByName, parts)
+def fit_vectors(estimator, train: DataFrame, vector: str, y: str):
+    """As ``fit``, for a frame that already holds the feature vector."""
+    columns = [F.col(vector).alias(FEATURES), F.col(y).cast("double").alias(LABEL)]
+    with training_cache(train.select(*columns)) as rows:
+        return estimator.copy().setFeaturesCol(FEATURES).setLabelCol(LABEL).fit(rows)
+
+
+def machine(reg: float = 0.01, steps: int = 15) -> C.LinearSVC:
+    """An unfitted linear support vector machine for two classes.
+
+    The hinge loss has kinks, where the optimizer tries many step lengths, each a pass over the
+    rows. A tolerance of 0.001 saves most of them and leaves the loss equal to four digits.
+    """
+    return C.LinearSVC(regParam=reg, maxIter=steps, tol=1e-3)
 
 
 def sigmoid(margins: DataFrame, y: str, margin: str = "margin") -> tuple[float, float]:
@@ -230,31 +231,55 @@ def sigmoid(margins: DataFrame, y: str, margin: str = "margin") -> tuple[float,
     return float(model.coefficients[0]), float(model.intercept)
 
 
-def calibrated_svm(
-    train: DataFrame, df: DataFrame, y: str, xs: list[str], key: str, folds: int = 3
+def out_of_fold(
+    df: DataFrame, estimator, y: str, vector: str, fold: str, folds: int, score: str = "margin"
+) -> DataFrame:
+    """(y, score): every row scored by a model that did not see its fold."""
+    parts = []
+    for i in range(folds):
+        model = fit_vectors(estimator, df.filter(F.col(fold) != i), vector, y)
+        held = df.filter(F.col(fold) == i).withColumnRenamed(vector, FEATURES)
+        parts.append(predict_vectors(model, held, "__class", score).select(y, score))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def calibrated(
+    train: DataFrame, df: DataFrame, y: str, vector: str, fold: str, folds: int, estimator=None
 ) -> DataFrame:
     """Add ``p_<class>`` per class: a sigmoid per one-against-rest machine, scaled to sum to 1.
 
-    With two classes one machine is enough and ``p_0`` is the complement of ``p_1``.
+    With two classes one machine is enough and the other probability is its complement. ``train``
+    holds fold numbers; margins for the sigmoid come from machines that did not see their rows.
     """
+    estimator = estimator or machine()
     classes = sorted(fit_counts(train, y))
-    placed = stratified_folds(train, key, y, folds).persist()
     targets = [classes[-1]] if len(classes) == 2 else classes
-    out = df
+    out = df.withColumnRenamed(vector, FEATURES)
     for c in targets:
-        binary = placed.withColumn("__is", (F.col(y) == F.lit(c)).cast("int"))
-        a, b = sigmoid(out_of_fold(binary, "__is", xs, "fold", folds), "__is")
-        machine = svm(binary, "__is", xs)
-        out = predict(machine, out, xs, "__class", "__margin")
+        binary = train.withColumn("__is", (F.col(y) == F.lit(c)).cast("int"))
+        a, b = sigmoid(out_of_fold(binary, estimator, "__is", vector, fold, folds), "__is")
+        model = fit_vectors(estimator, binary, vector, "__is")
+        out = predict_vectors(model, out, "__class", "__margin")
         out = out.withColumn(f"p_{c}", 1 / (1 + F.exp(-(F.lit(a) * F.col("__margin") + F.lit(b)))))
         out = out.drop("__class", "__margin")
-    placed.unpersist()
+    out = out.withColumnRenamed(FEATURES, vector)
     if len(classes) == 2:
         return out.withColumn(f"p_{classes[0]}", 1 - F.col(f"p_{classes[1]}"))
     total = reduce(lambda a, b: a + b, [F.col(f"p_{c}") for c in classes])
     return out.withColumns({f"p_{c}": F.col(f"p_{c}") / total for c in classes})
 
 
+def calibrated_svm(
+    train: DataFrame, df: DataFrame, y: str, xs: list[str], key: str, folds: int = 3
+) -> DataFrame:
+    """``calibrated`` linear machines over plain columns."""
+    placed = assemble(stratified_folds(train, key, y, folds), xs)
+    placed = placed.select(y, "fold", F.col(FEATURES).alias("__vector"))
+    scored = assemble(df, xs).withColumnRenamed(FEATURES, "__vector")
+    with training_cache(placed) as rows:
+        return calibrated(rows, scored, y, "__vector", "fold", folds).drop("__vector")
+
+
 def importance(model, xs: list[str]) -> list[tuple[str, float]]:
     """(feature, share): tree importances, or absolute linear coefficients scaled to sum to 1."""
     if hasattr(model, "featureImportances"):

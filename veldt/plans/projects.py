@@ -50,7 +50,7 @@ TERM_BUCKETS = 1 << 14
 
 @query("p_news_topics")
 def p_news_topics(spark, folder):
-    """Language of whole documents: logistic regression and linear machines over term vectors."""
+    """Language of whole documents: logistic regression, and calibrated linear machines, over term vectors."""
     docs = p.cleaned(table(spark, folder, "documents").select("doc_id", "lang", "text"), "text")
     langs = fit_categories(docs, "lang")
     docs = f.ordinal(docs, "lang", langs, "label")
@@ -69,16 +69,12 @@ def p_news_topics(spark, folder):
         "fold",
         3,
     )
-    machines = C.OneVsRest(classifier=C.LinearSVC(maxIter=10, regParam=0.01, tol=1e-3))
-    with training_cache(
-        vectors.select(
-            F.col("term_vector").alias(mo.FEATURES), F.col("label").cast("double").alias(mo.LABEL)
-        )
-    ) as rows:
-        svm = machines.setLabelCol(mo.LABEL).setFeaturesCol(mo.FEATURES).fit(rows)
-    scored = test.withColumnRenamed("term_vector", mo.FEATURES)
+    with training_cache(vectors.select("label", "fold", "term_vector")) as rows:
+        scored = mo.calibrated(rows, test, "label", "term_vector", "fold", 3, mo.machine(steps=5))
+    scored = scored.withColumnRenamed("term_vector", mo.FEATURES)
     scored = mo.predict_vectors(search.bestModel, scored, "by_logistic")
-    scored = mo.predict_vectors(svm, scored, "by_svm")
+    shares = F.array(*[F.col(f"p_{i}") for i in range(len(langs))])
+    scored = scored.withColumn("by_svm", F.array_position(shares, F.array_max(shares)) - 1)
     names = ["by_logistic", "by_svm"]
     scored = scored.select("label", *[F.col(n).cast("int").alias(n) for n in names])
     rows = []
@@ -212,14 +208,19 @@ m AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS sxy,
 b AS (SELECT 'linear' AS model, sxy / sxx AS b, mx, my FROM m UNION ALL
  SELECT 'ridge', sxy / (sxx + 50000.0 / n), mx, my FROM m UNION ALL
  SELECT 'lasso', sign(sxy) * greatest(abs(sxy) - 20.0, 0) / sxx, mx, my FROM m UNION ALL
- SELECT 'elastic', sign(sxy) * greatest(abs(sxy) - 10.0, 0) / (sxx + 10.0), mx, my FROM m)
-SELECT model, round(sqrt(avg((y - my - b * (x - mx)) * (y - my - b * (x - mx)))), 4) AS rmse,
-round(avg(abs(y - my - b * (x - mx))), 4) AS mae,
-round(1 - sum((y - my - b * (x - mx)) * (y - my - b * (x - mx))) / (var_pop(y) * count(y)), 4) AS r2
-FROM r, b GROUP BY 1""",
+ SELECT 'elastic', sign(sxy) * greatest(abs(sxy) - 10.0, 0) / (sxx + 10.0), mx, my FROM m),
+q AS (SELECT avg(x) AS mx, avg(x * x) AS mz, avg(y) AS my, var_pop(x) AS xx, var_pop(x * x) AS zz,
+ covar_pop(x, x * x) AS xz, covar_pop(x, y) AS xy, covar_pop(x * x, y) AS zy FROM r),
+w AS (SELECT mx, mz, my, (zz * xy - xz * zy) / (xx * zz - xz * xz) AS b1,
+ (xx * zy - xz * xy) / (xx * zz - xz * xz) AS b2 FROM q),
+t AS (SELECT model, y, my + b * (x - mx) AS p FROM r, b UNION ALL
+ SELECT 'polynomial', y, my + b1 * (x - mx) + b2 * (x * x - mz) FROM r, w)
+SELECT model, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse, round(avg(abs(y - p)), 4) AS mae,
+round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 4) AS r2 FROM t GROUP BY 1""",
 )
 def p_rent_regression(spark, folder):
-    rows = rents(spark, folder)
+    rows = f.poly(rents(spark, folder), ["x"], 2)
+    curve = mo.linear(rows, "y", ["x", "x*x"])
     models = {
         "linear": mo.linear(rows, "y", ["x"]),
         "ridge": mo.ridge(rows, "y", ["x"], RIDGE_ALPHA),
@@ -231,7 +232,9 @@ def p_rent_regression(spark, folder):
         scored = mo.predict(model, rows, ["x"])
         row = m.regression_metrics(scored, "y", "prediction").withColumn("model", F.lit(name))
         out = row if out is None else out.unionByName(row)
-    return rounded(out, 4)
+    scored = mo.predict(curve, rows, ["x", "x*x"])
+    row = m.regression_metrics(scored, "y", "prediction").withColumn("model", F.lit("polynomial"))
+    return rounded(out.unionByName(row), 4)
 
 
 @query("p_ecommerce_mart", STAR_SQL)

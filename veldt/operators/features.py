@@ -11,6 +11,7 @@ from veldt.functions.columns import signed_log, width_bin
 from veldt.functions.fitting import fit_categories, fit_counts, fit_row, literal, lookup
 from veldt.functions.neighbours import nearest
 from veldt.functions.ordered import first_by_hash, row_numbers, same_keys
+from veldt.session import checkpointed
 
 
 def minmax(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFrame:
@@ -250,6 +251,7 @@ def smote(
     if reach < 1 or largest == size:
         return rows.withColumn("copy", F.lit(0)).select(key, "copy", *columns).limit(0)
     lacking = largest - size
+    rows = checkpointed(rows)  # read by several jobs below
     extra = first_by_hash(rows, None, key, F.lit(lacking % size))
     copies = F.lit(lacking // size) + extra.cast("int")
     drawn = rows.filter(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))

@@ -18,7 +18,7 @@ def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Counts for every (label, prediction) pair of known classes, zeros included."""
     cells = df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
     known = (
-        df.select(F.explode(F.array(label, prediction)).alias("c"))
+        cells.select(F.explode(F.array(label, prediction)).alias("c"))
         .groupBy()
         .agg(F.sort_array(F.collect_set("c")).alias("classes"))
     )

@@ -5,15 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veldt.functions.ordered import row_numbers
+from veldt.functions.ordered import row_numbers, split_by_size
 
 UNKNOWN = -1
 
 
-def join(left: DataFrame, right: DataFrame, on: list[str] | Column, how: str) -> DataFrame:
-    """Equi join. No hints: adaptive execution broadcasts a side by its measured size, and splits
-    the partitions of a very frequent key when both sides are large."""
-    return left.join(right, on, how)
+# sides whose frequent keys adaptive execution cannot split, per join type
+UNSPLIT = {"full": "both", "full_outer": "both", "outer": "both", "left": "right", "right": "left"}
+
+
+def _has_large_key(df: DataFrame, keys: list[str]) -> bool:
+    """Whether one (present) key covers more rows than one task should hold."""
+    known = df.dropna(subset=keys).select(*keys)
+    return split_by_size(known, keys)[1] is not None
+
+
+def join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Equi join on columns of equal names.
+
+    No hints: adaptive execution broadcasts a side by its measured size, and splits the partitions
+    of a very frequent key when both sides are large. It cannot split every side of an outer join;
+    if such a side has a very frequent key, the join is put together from an inner join and anti
+    joins, which it can split.
+    """
+    unsplit = UNSPLIT.get(how)
+    sides = {"left": [left], "right": [right], "both": [left, right], None: []}[unsplit]
+    if not any(_has_large_key(side, on) for side in sides):
+        return left.join(right, on, how)
+    parts = left.join(right, on, "inner")
+    if how != "right":
+        parts = parts.unionByName(left.join(right, on, "left_anti"), allowMissingColumns=True)
+    if how != "left":
+        parts = parts.unionByName(right.join(left, on, "left_anti"), allowMissingColumns=True)
+    return parts
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -25,7 +49,7 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
         .when(F.col("__in_right").isNull(), "left")
         .otherwise("both")
     )
-    return a.join(b, keys, "full").withColumn("side", side).drop("__in_left", "__in_right")
+    return join(a, b, keys, "full").withColumn("side", side).drop("__in_left", "__in_right")
 
 
 def dimension(df: DataFrame, natural_key: list[str], attributes: list[str], name: str) -> DataFrame:

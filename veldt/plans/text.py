@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from veldt.operators import text as t
 from veldt.operators.metrics import rounded
 from veldt.plans.registry import query, table
+from veldt.session import scattered
 
 STOP = sorted({w for words in t.STOP_WORDS.values() for w in words})
 STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
@@ -26,18 +27,22 @@ v AS (SELECT doc_id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id))
 )
 
 
+def documents(spark, folder):
+    return scattered(table(spark, folder, "documents").select("doc_id", "lang", "text"))
+
+
 @query(
     "text_clean",
     r"""SELECT doc_id, trim(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g')) AS text FROM documents""",
 )
 def text_clean(spark, folder):
-    return t.clean_text(table(spark, folder, "documents").select("doc_id", "text"), "text")
+    return t.clean_text(documents(spark, folder).drop("lang"), "text")
 
 
 @query("text_tokens", TOKENS + "SELECT term, count(*) AS n, count(DISTINCT doc_id) AS docs FROM k GROUP BY 1")
 def text_tokens(spark, folder):
     return (
-        t.tokens(table(spark, folder, "documents"), "doc_id", "text", STOP)
+        t.tokens(documents(spark, folder), "doc_id", "text", STOP)
         .groupBy("term", "doc_id")
         .count()
         .groupBy("term")
@@ -47,7 +52,7 @@ def text_tokens(spark, folder):
 
 @query("tfidf", TFIDF + "SELECT doc_id, term, round(weight, 6) AS weight FROM v")
 def tfidf(spark, folder):
-    return rounded(t.tfidf(table(spark, folder, "documents"), "doc_id", "text", STOP))
+    return rounded(t.tfidf(documents(spark, folder), "doc_id", "text", STOP))
 
 
 @query(
@@ -60,6 +65,6 @@ SELECT lang, term, round(mean_weight, 6) AS mean_weight, row_number() OVER (PART
 ORDER BY mean_weight DESC, term)::INTEGER AS position FROM m QUALIFY position <= 15""",
 )
 def tfidf_topterms(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = documents(spark, folder)
     weights = t.tfidf(docs, "doc_id", "text", STOP)
     return rounded(t.top_terms(weights, docs, "doc_id", "lang", 15))

@@ -48,7 +48,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def scattered(df: DataFrame) -> DataFrame:
-    """``df`` over all cores, when its files have fewer splits than there are cores.
+    """A table just read, over all cores, when its files have fewer splits than there are cores.
 
     For steps that multiply rows (words of a text) right after a scan. A large table has splits
     enough and is returned unchanged, without a shuffle.

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from veldt.operators import features as f
 from veldt.operators import metrics as m
+from veldt.operators import models as mo
 from veldt.operators.clean import dedup, where
+from veldt.operators.text import tfidf
 from veldt.plans.registry import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -40,5 +42,21 @@ def test_sweep_counts_each_row_once(spark):
         (F.col("value") > 50).cast("int").alias("y"), (F.col("value") / 500).alias("s")
     )
     plan = plan_of(m.threshold_sweep(scores, "y", "s", [i / 20 for i in range(1, 20)]))
-    assert "Generate explode" not in plan.split("FileScan")[0].split("Generate posexplode")[0]
+    # the only generator unfolds the grid itself
+    assert plan.count("Generate ") == plan.count("Generate posexplode") == 1
     assert "NestedLoop" not in plan
+
+
+def test_term_counts_are_shuffled_once(spark):
+    docs = table(spark, FOLDER, "documents")
+    weights = tfidf(docs, "doc_id", "text")
+    rows = weights.collect()
+    assert rows
+    final = weights._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final
+
+
+def test_penalised_regression_reads_rows_once(spark):
+    lines = table(spark, FOLDER, "lineitem").select("l_quantity", "l_discount", "l_extendedprice")
+    model = mo.ridge(lines, "l_extendedprice", ["l_quantity", "l_discount"], 10.0)
+    assert model.getSolver() == "normal"

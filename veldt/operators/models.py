@@ -114,18 +114,22 @@ def linear(train: DataFrame, y: str, xs: list[str]):
 def penalized(train: DataFrame, y: str, xs: list[str], l1: float, l2: float):
     """Least squares / (2n) + l1 * |b| + l2 / 2 * |b|^2, on unscaled features.
 
-    Spark fits against the label divided by its sample deviation, which leaves the L1 weight as
-    given and divides the L2 weight by that deviation; the parameters undo it.
+    Spark fits against the label divided by its population deviation, which leaves the L1 weight
+    as given and divides the L2 weight by that deviation; the parameters undo it. The normal solver
+    reads the rows once, into the matrix of feature products, and optimizes on that; above its
+    4,096 features the rows are read per step, and Spark divides by the sample deviation.
     """
-    deviation = fit_row(train, {"sd": F.stddev_samp(y)})["sd"] or 1.0
+    one_pass = len(xs) <= 4096
+    spread = F.stddev_pop if one_pass else F.stddev_samp
+    deviation = fit_row(train, {"sd": spread(y)})["sd"] or 1.0
     total = l1 + l2 * deviation
     estimator = R.LinearRegression(
         regParam=total,
         elasticNetParam=(l1 / total) if total else 0.0,
         standardization=False,
-        solver="l-bfgs",
+        solver="normal" if one_pass else "l-bfgs",
         maxIter=500,
-        tol=1e-12,
+        tol=1e-12 if one_pass else 1e-6,
     )
     return fit(estimator, train, xs, y)
 
@@ -149,11 +153,16 @@ def elastic(train: DataFrame, y: str, xs: list[str], alpha: float, l1_ratio: flo
 
 
 def logistic(
-    train: DataFrame, y: str, xs: list[str], reg: float = 0.0, weight: str | None = None
+    train: DataFrame,
+    y: str,
+    xs: list[str],
+    reg: float = 0.0,
+    weight: str | None = None,
+    tol: float = 1e-6,
 ):
     """Logistic regression, two or more classes; ``reg`` weighs half the squared coefficients."""
     estimator = C.LogisticRegression(
-        regParam=reg, elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-12
+        regParam=reg, elasticNetParam=0.0, standardization=False, maxIter=200, tol=tol
     )
     return fit(estimator, train, xs, y, weight)
 

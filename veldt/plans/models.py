@@ -131,7 +131,7 @@ b + (h * gb - hx * ga) / (h * hxx - hx * hx) AS b FROM b{i}, g{i})"""
 @query("clf_logistic", newton_sql(9))
 def clf_logistic(spark, folder):
     rows = noisy_purchases(spark, folder)
-    frame = mo.coefficient_frame(rows, mo.logistic(rows, "y", ["x"]), ["x"])
+    frame = mo.coefficient_frame(rows, mo.logistic(rows, "y", ["x"], tol=1e-12), ["x"])
     return rounded(frame.withColumn("odds", F.exp("value")), 4)
 
 

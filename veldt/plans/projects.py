@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import classification as C
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veldt.functions.fitting import fit_categories, small_frame
@@ -103,34 +102,33 @@ def p_online_purchase(spark, folder):
         }
     )
     users = f.split(users, "user_id", 0.25, "y")
-    train, test = users.filter("split = 'train'"), users.filter("split = 'test'")
     numbers = ["total", "mean_value", "n_click", "n_view"]
     steps = {**{x: "standard" for x in numbers}, "tier": "onehot"}
-
-    def prepared(rows: DataFrame) -> DataFrame:
-        return f.column_transform(
-            clean.impute(train, train, ["total"], "median"),
-            clean.impute(train, rows, ["total"], "median"),
-            steps,
-        )
-
-    train, test = prepared(train), prepared(test)
-    xs = [*numbers, *[c for c in train.columns if c.startswith("tier_")]]
-    train_pc, _, _ = mo.pca(train, train, numbers, 2)
-    test_pc, _, _ = mo.pca(train, test, numbers, 2)
     rows = []
-    for view, left, right, names in (
-        ("plain", train, test, xs),
-        ("components", train_pc, test_pc, ["pc1", "pc2"]),
-    ):
-        for name, fit in (("logistic", mo.logistic), ("forest", mo.forest)):
-            kwargs = {"reg": 0.01} if name == "logistic" else {}
-            model = fit(left, "y", names, **kwargs)
-            scored = mo.predict(model, right, names, "prediction", "score")
-            scored = scored.select("y", F.col("prediction").cast("int").alias("prediction"), "score")
-            ones = m.precision_recall_f1(scored, "y", "prediction").filter("class = 1").first()
-            auc = m.roc_auc(scored, "y", "score").first()["roc_auc"]
-            rows.append((name, view, ones["recall"], ones["f1"], auc))
+    with training_cache(users.select("split", "y", *steps)) as cached:
+        train, test = cached.filter("split = 'train'"), cached.filter("split = 'test'")
+        gaps = clean.fit_impute(train, ["total"], "median")
+        train, test = clean.fill(train, gaps), clean.fill(test, gaps)
+        train, test = f.column_transform(train, train, steps), f.column_transform(train, test, steps)
+        xs = [*numbers, *[c for c in train.columns if c.startswith("tier_")]]
+        train_pc, _, _ = mo.pca(train, train, numbers, 2)
+        test_pc, _, _ = mo.pca(train, test, numbers, 2)
+        for view, left, right, names in (
+            ("plain", train, test, xs),
+            ("components", train_pc, test_pc, ["pc1", "pc2"]),
+        ):
+            models = {
+                "logistic": mo.logistic(left, "y", names, reg=0.01),
+                "forest": mo.forest(left, "y", names),
+            }
+            for name, model in models.items():
+                scored = mo.predict(model, right, names, "prediction", "score")
+                picked = F.col("prediction").cast("int").alias("prediction")
+                with training_cache(scored.select("y", picked, "score")) as judged:
+                    ones = m.precision_recall_f1(judged, "y", "prediction")
+                    ones = ones.filter("class = 1").first()
+                    auc = m.roc_auc(judged, "y", "score").first()["roc_auc"]
+                rows.append((name, view, ones["recall"], ones["f1"], auc))
     columns = {
         "model": "string", "view": "string", "recall": "double", "f1": "double", "roc_auc": "double",
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, StructField, StructType
 
-from veldt.session import checkpointed
+from veldt.session import checkpointed, use_checkpoints
 
-__all__ = ["checkpointed", "lower_ascii", "map_rows", "parts_for", "source", "split_of"]
+__all__ = ["checkpointed", "lower_ascii", "map_rows", "parts_for", "source", "split_of", "written"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROWS_PER_CHUNK = 512
@@ -32,6 +33,15 @@ def split_of(doc_id: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder: compressed, and read by column; survives lost executors."""
+    spark = df.sparkSession
+    use_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def parts_for(df: DataFrame, at_least: int = 1) -> int:
     """A partition count that follows the input: the session's own, or the number of its splits if larger."""
     return max(at_least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldt.llm import pieces
+from veldt.llm import minhash, oracles, pieces
 from veldt.llm.common import source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,9 @@ def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op6_minhash", oracles.NEAR_DUPLICATES)
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.near_duplicates(source(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

@@ -24,3 +24,31 @@ WITH RECURSIVE w AS (
 SELECT d AS doc_id, coalesce(n, 0) AS n_shingles, component_id, d = component_id AS kept
 FROM least LEFT JOIN size ON size.doc_id = d
 """
+
+CONTAMINATION = f"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex({LOWER.format("coalesce(text, '')")}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, list_filter(string_split_regex({LOWER.format("coalesce(text, '')")}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, unnest(CASE
+    WHEN len(w) >= 10 THEN list_transform(range(1, len(w) - 8), lambda i: array_to_string(w[i:i + 9], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s, least(len(w), 10) AS k
+  FROM b
+), lens AS (SELECT DISTINCT k FROM win
+), grams AS (
+  SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM d, lens WHERE len(w) >= k
+), hit AS (
+  SELECT g.doc_id, g.i, g.k, win.item_id FROM grams g JOIN win ON win.k = g.k AND win.s = array_to_string(g.w[g.i:g.i + g.k - 1], ' ')
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hit GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldt.llm import minhash, oracles, pieces
+from veldt.llm import contamination, minhash, oracles, pieces
 from veldt.llm.common import source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,16 @@ def op4_pieces(spark: SparkSession, folder: str) -> DataFrame:
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
     found = minhash.near_duplicates(source(spark, folder, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op3_contamination", oracles.CONTAMINATION)
+def op3_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination.contamination(source(spark, folder, "documents"), source(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldt.llm import contamination, minhash, oracles, pieces
+from veldt.llm import contamination, minhash, oracles, pieces, repeats
 from veldt.llm.common import source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,15 @@ def op3_contamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query("op5_repeats")
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.without_repeats(source(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

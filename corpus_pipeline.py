@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from veldt.llm import stages
 
 STAGES = [
+    ("toxicity", stages.toxic),
+    ("minhash_near_dedup", stages.near_dedup),
+    ("suffix_array_dedup", stages.repeated_passages),
+    ("benchmark_decontamination", stages.decontamination),
     ("sentencepiece", stages.encoding),
 ]
 

@@ -145,11 +145,12 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, set_key, component_id, kept.
+    """One row per row of ``docs``: doc_id, row (hash of id and text), n_shingles, set_key, component_id,
+    kept.
 
     ``similarity`` is a fraction (numerator, denominator), so the threshold is exact.
     """
-    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
     base = written(signed(plain, "text", words, bands, rows).drop("text"))
     classes = (
         base.filter("set_size > 0 AND doc_id IS NOT NULL")
@@ -204,6 +205,7 @@ def near_duplicates(
     component = F.when(F.col("doc_id").isNotNull(), component)
     return out.select(
         "doc_id",
+        "row",
         F.col("set_size").alias("n_shingles"),
         "set_key",
         component.alias("component_id"),

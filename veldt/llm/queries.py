@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldt.llm import contamination, minhash, oracles, pieces, repeats
+from veldt.llm import contamination, minhash, oracles, pieces, repeats, toxicity
 from veldt.llm.common import source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,11 @@ def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = source(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit_from_flags(docs, source(spark, folder, "labels"))
+    found = toxicity.severity(docs, model).drop("text")
+    return found.withColumn("rejected", F.col("p_toxic") >= 0.5)

@@ -1,13 +1,58 @@
-"""The stages of the corpus pipeline; each takes (spark, docs, folder) and returns a DataFrame."""
+"""The stages of the corpus pipeline; each takes (spark, docs, folder) and returns a DataFrame.
+
+Rows are told apart by their id and text together, so null ids, empty texts and repeated ids are handled like others.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from veldt.llm import pieces
+from veldt.llm import contamination, minhash, pieces, repeats, toxicity
+from veldt.llm.common import map_rows, source
 from veldt.llm.queries import piece_model
 
+REJECTED_FROM = 0.5
+
+
+def toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Without documents that are more likely toxic, of any grade, than not."""
+    model = toxicity.fit_from_flags(docs, source(spark, folder, "labels"))
+    scored = toxicity.severity(docs.withColumn("_text", F.col("text")), model, "_text")
+    return scored.filter(F.col("p_toxic") < REJECTED_FROM).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near copies, that with the least id; of rows alike in id and text, one."""
+    found = minhash.near_duplicates(docs)
+    kept = found.filter("kept").select(F.col("row").alias("_row")).distinct()
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    return keyed.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Texts without repeated passages; a character that a cut has split goes too; n_chars is counted anew."""
+    found = repeats.without_repeats(docs)
+
+    def make():
+        return lambda kept: ([k.decode(errors="ignore") for k in kept],)
+
+    found = map_rows(found, make, ["kept"], [("text", StringType())])
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return found.select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Without documents that hold a window of a benchmark item."""
+    found = contamination.contamination(docs, source(spark, folder, "benchmark"))
+    hit = found.filter("contaminated").select(F.col("doc").alias("_row")).distinct()
+    return docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(hit, "_row", "left_anti").drop("_row")
+
 
 def encoding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token ids of every text that is left, and the text they stand for."""
-    return pieces.decode(pieces.encode(docs, piece_model()), piece_model())
+    """Token ids of every text that is left, and whether they decode to it again."""
+    both = pieces.decode(pieces.encode(docs, piece_model()), piece_model())
+    both = both.withColumn("n_tokens", pieces.token_count(F.col("ids")))
+    return both.withColumn("round_trip", F.col("decoded") == F.coalesce("text", F.lit(""))).drop("decoded")

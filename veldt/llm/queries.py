@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldt.llm import contamination, minhash, oracles, pieces, repeats, toxicity
+from veldt.llm import contamination, fingerprint, minhash, oracles, pieces, repeats, toxicity
 from veldt.llm.common import source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit_from_flags(docs, source(spark, folder, "labels"))
     found = toxicity.severity(docs, model).drop("text")
     return found.withColumn("rejected", F.col("p_toxic") >= 0.5)
+
+
+@query("op9_fingerprint")
+def op9_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.with_edits(source(spark, folder, "documents"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldt.llm import contamination, fingerprint, minhash, oracles, pieces, repeats, toxicity
+from veldt.llm import contamination, fingerprint, minhash, oracles, pieces, repeats, tag_paths, toxicity
 from veldt.llm.common import source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_fingerprint")
 def op9_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.with_edits(source(spark, folder, "documents"))
+
+
+@query("op8_tag_paths")
+def op8_tag_paths(spark: SparkSession, folder: str) -> DataFrame:
+    pages = source(spark, folder, "pages").select("page_id", "url", "html")
+    return tag_paths.extract(pages).drop("html").withColumn("n_chars", F.char_length("text").cast("long"))

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldt.llm import contamination, fingerprint, minhash, oracles, pieces, repeats, tag_paths, toxicity
-from veldt.llm.common import source
+from veldt.llm import contamination, fingerprint, languages, minhash, oracles, pieces, repeats, tag_paths, toxicity
+from veldt.llm.common import source, split_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -89,3 +89,13 @@ def op9_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 def op8_tag_paths(spark: SparkSession, folder: str) -> DataFrame:
     pages = source(spark, folder, "pages").select("page_id", "url", "html")
     return tag_paths.extract(pages).drop("html").withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query("op2_languages")
+def op2_languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = source(spark, folder, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", split_of("doc_id", 4) == 2)
+    model = languages.fit(docs.filter("NOT held_out"))
+    return languages.label(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )

@@ -2,10 +2,11 @@
 
 Two permutations make all coordinates of a signature: the first spreads the shingles over 32 bits, the second is used
 again for every coordinate after a circular shift. Bands of coordinates give buckets. Documents with equal sets are one
-class from the start. In a bucket, classes are first compared with one pivot each; classes of a bucket that are still
-in different components are then compared with each other, where their sizes allow it. So every pair that
-meets in a bucket is either compared or already connected, and a group of any size costs one comparison per member when
-its pivot is close to all. Links are confirmed on the full shingle sets.
+class from the start. In a bucket, classes are first compared with one pivot. Buckets whose classes are still in
+different components get other pivots, of a different order in each bucket, in the rounds that follow; what is then
+still apart is compared class by class, unless bitmaps of their shingles show that too few can be in common for a link
+(a bit that only one map has stands for a shingle that only one set has). So every pair that
+meets in a bucket is compared, ruled out or already connected, and a large group costs a few comparisons per member. Links are confirmed on the full shingle sets.
 
 Defined results: a null or wordless text has an empty set and is linked with nothing; with fewer words than a shingle,
 the whole sequence is one shingle; a null id is linked with nothing, its component is null and it is kept; repeated
@@ -15,7 +16,7 @@ rows give repeated rows; an empty table gives an empty table; extra columns are
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType
 
@@ -25,7 +26,9 @@ from veldt.llm.words import blocks, mixed, shingle_sets
 WORDS = 5
 SIMILARITY = (3, 4)
 BANDS, ROWS = 32, 4
-PIVOT_ROUNDS = 1
+PIVOT_ROUNDS = 2
+SET_BYTES = 6
+BITMAP_BITS = 2048
 STEP = 2048
 
 
@@ -79,15 +82,41 @@ def signed(df: DataFrame, text: str, words: int, bands: int, rows: int) -> DataF
     return map_rows(df, make, [text], outputs)
 
 
+def packed(shingles: np.ndarray) -> bytes:
+    """The low bytes of a set's hashes; enough to tell the shingles of two texts apart."""
+    return shingles.view(np.uint8).reshape(-1, 8)[:, :SET_BYTES].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    whole = np.zeros((len(data) // SET_BYTES, 8), np.uint8)
+    whole[:, :SET_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, SET_BYTES)
+    return whole.view(np.uint64)[:, 0]
+
+
+def bitmap(shingles: np.ndarray) -> list[int]:
+    bits = np.zeros(BITMAP_BITS, dtype=bool)
+    bits[(shingles & np.uint64(BITMAP_BITS - 1)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.int64).tolist()
+
+
+def only_in(x: str, y: str) -> Column:
+    """How many bits of map ``x`` map ``y`` lacks."""
+    lacking = F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseAND(F.bitwise_not(b))))
+    return F.aggregate(lacking, F.lit(0), lambda total, k: total + k)
+
+
 def with_sets(df: DataFrame, text: str, words: int) -> DataFrame:
+    """Add each text's set key, packed set and bitmap."""
+
     def make():
         def run(texts):
             sets = [s for run_of in blocks(texts) for s in shingle_sets(run_of, words)]
-            return [set_key(s) for s in sets], [s.tobytes() for s in sets]
+            return [set_key(s) for s in sets], [packed(s) for s in sets], [bitmap(s) for s in sets]
 
         return run
 
-    return map_rows(df, make, [text], [("set_key", BinaryType()), ("shingles", BinaryType())], chunk=128)
+    outputs = [("set_key", BinaryType()), ("shingles", BinaryType()), ("bits", ArrayType(LongType()))]
+    return map_rows(df, make, [text], outputs, chunk=128)
 
 
 def close(df: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -98,11 +127,11 @@ def close(df: DataFrame, similarity: tuple[int, int]) -> DataFrame:
         def run(left, right):
             out = []
             for x, y in zip(left, right, strict=True):
-                n = (len(x) + len(y)) // 8
+                n = (len(x) + len(y)) // SET_BYTES
                 if whole * min(len(x), len(y)) < part * max(len(x), len(y)):
                     out.append(False)
                     continue
-                both = np.sort(np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)]))
+                both = np.sort(np.concatenate([unpacked(x), unpacked(y)]))
                 shared = int((both[1:] == both[:-1]).sum())
                 out.append(whole * shared >= part * (n - shared))
             return (out,)
@@ -165,34 +194,37 @@ def near_duplicates(
     wanted = members.select("node").distinct()
     sets = with_sets(plain.filter("doc_id IS NOT NULL").join(reps, "doc_id", "left_semi"), "text", words)
     sets = sets.join(wanted, sets["set_key"] == wanted["node"], "left_semi")
-    sets = written(sets.groupBy("set_key").agg(F.first("shingles").alias("shingles")))
+    sets = written(sets.groupBy("set_key").agg(F.first("shingles").alias("shingles"), F.first("bits").alias("bits")))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         left = sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("left"))
         right = sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("right"))
         return close(pairs.join(left, "a").join(right, "b"), similarity)
 
+    part, whole = similarity
+    sized = F.least("n", "m") * whole >= F.greatest("n", "m") * part
+    common = F.least(F.col("n") - only_in("bits", "bits2"), F.col("m") - only_in("bits2", "bits"))
+    possible = common * whole >= (F.col("n") + F.col("m") - common) * part
     edges = None
     placed = members.withColumn("root", F.col("node"))
     for turn in range(PIVOT_ROUNDS + 1):
         if turn < PIVOT_ROUNDS:
-            order = F.struct((F.col("node") if turn == 0 else F.xxhash64("node")).alias("first"), "node", "root", "n")
-            pivots = placed.groupBy("band").agg(F.min(order).alias("p"))
-            pairs = placed.join(pivots, "band").filter("root <> p.root")
-            pairs = pairs.select(F.col("node").alias("a"), F.col("p.node").alias("b"), "n", F.col("p.n").alias("m"))
+            first = F.xxhash64("node") if turn == 0 else F.xxhash64("node", "band", F.lit(turn))
+            pivots = placed.groupBy("band").agg(F.min(F.struct(first.alias("first"), "node", "root", "n")).alias("p"))
+            other = pivots.select("band", "p.node", "p.root", "p.n").toDF("band", "b", "other", "m")
+            pairs = placed.join(other, "band").filter((F.col("root") != F.col("other")) & sized)
         else:
-            other = placed.select("band", F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-            pairs = placed.join(other, "band").filter("root < other").select(F.col("node").alias("a"), "b", "n", "m")
-        part, whole = similarity
-        pairs = pairs.filter(F.least("n", "m") * whole >= F.greatest("n", "m") * part).select("a", "b").distinct()
-        found = confirmed(pairs)
+            mapped = placed.join(sets.select(F.col("set_key").alias("node"), "bits"), "node").select("band", "node", "root", "n", "bits")
+            other = mapped.toDF("band", "b", "other", "m", "bits2")
+            pairs = mapped.join(other, (mapped["band"] == other["band"]) & (F.col("root") < F.col("other")) & sized & possible)
+        found = confirmed(pairs.select(F.col("node").alias("a"), "b").distinct())
         edges = checkpointed(found if edges is None else edges.union(found))
         roots = checkpointed(components(edges))
         if turn == PIVOT_ROUNDS:
             break
         placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed_bands = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-        placed = checkpointed(placed.join(mixed_bands.select("band"), "band"))
+        apart = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
+        placed = checkpointed(placed.join(apart.select("band"), "band"))
         if not placed.take(1):
             break
 

@@ -74,10 +74,11 @@ def candidates(windows: DataFrame, index: DataFrame) -> DataFrame:
     """(doc, start, words, wid) where the two rarest terms of a window stand at their places."""
     ranked = written(by_rarity(windows, index))
     first = ranked.select(F.col("first.term").alias("term"), F.col("first.off").alias("off"), "second", "wid", "words")
-    starts = index.join(first, "term").withColumn("start", F.col("pos") - F.col("off")).filter("start >= 0")
+    listed = index.join(known_terms(first.select("term").distinct()), "term", "left_semi")
+    starts = listed.join(first, "term").withColumn("start", F.col("pos") - F.col("off")).filter("start >= 0")
     starts = starts.select("doc", "start", "second", "wid", "words")
     others = ranked.select(F.col("second.term").alias("term")).filter("term IS NOT NULL").distinct()
-    others = index.join(others, "term", "left_semi")
+    others = index.join(known_terms(others), "term", "left_semi")
     alone = starts.filter("second IS NULL").drop("second")
     pairs = starts.filter("second IS NOT NULL").withColumn("term", F.col("second.term"))
     pairs = pairs.withColumn("pos", F.col("start") + F.col("second.off")).drop("second")

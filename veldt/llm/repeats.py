@@ -21,9 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from veldt.llm.common import map_rows, parts_for, written
 from veldt.llm.words import U, mixed, prefix_hashes, span_hashes
@@ -60,17 +60,24 @@ def anchors(data: np.ndarray, length: int, size: int) -> tuple[np.ndarray, ...]:
     return grams[pos].view(np.int64), around.view(np.int64), pos, left, right
 
 
-OCCURRENCE = StructType(
-    [StructField("doc", LongType()), StructField("a", LongType()), StructField("ctx", LongType())]
-    + [StructField(c, IntegerType()) for c in ("pos", "lc", "rc")]
-)
+#: position, bytes to the left and to the right in one number, to keep the rows of the largest shuffle narrow
+OCCURRENCE = StructType([StructField(c, LongType()) for c in ("doc", "a", "ctx", "at")])
+SIDE_BITS = 9
+SIDE = (1 << SIDE_BITS) - 1
+
+
+def unpacked(at: Column) -> tuple[Column, Column, Column]:
+    """Position, left, right."""
+    return F.shiftright(at, 2 * SIDE_BITS), F.shiftright(at, SIDE_BITS).bitwiseAND(SIDE), at.bitwiseAND(SIDE)
 
 
 def occurrences(rows: DataFrame, length: int, size: int) -> DataFrame:
-    """(doc, a, ctx, pos, lc, rc) for each anchor of each text."""
+    """(doc, a, ctx, at) for each anchor of each text."""
+    if length > SIDE:
+        raise ValueError(f"repeats longer than {SIDE} bytes need more bits for the sides of an anchor")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc", pa.int64()), ("a", pa.int64()), ("ctx", pa.int64())] + [(c, pa.int32()) for c in ("pos", "lc", "rc")])
+        schema = pa.schema([(c, pa.int64()) for c in ("doc", "a", "ctx", "at")])
         for batch in batches:
             docs, texts = batch.column("doc"), batch.column("text")
             out: list[tuple] = []
@@ -78,9 +85,10 @@ def occurrences(rows: DataFrame, length: int, size: int) -> DataFrame:
             for i in range(batch.num_rows):
                 data = np.frombuffer(texts[i].as_buffer() or b"", np.uint8) if texts[i].is_valid else ()
                 if len(data) >= length:
-                    found = anchors(data, length, size)
-                    out.append((np.full(len(found[0]), docs[i].as_py()), *found))
-                    held += len(found[0])
+                    grams, around, pos, left, right = anchors(data, length, size)
+                    at = (pos << 2 * SIDE_BITS) | (left << SIDE_BITS) | right
+                    out.append((np.full(len(pos), docs[i].as_py()), grams, around, at))
+                    held += len(pos)
                 if held > 100_000 or i == batch.num_rows - 1 and out:
                     columns = [np.concatenate(c) for c in zip(*out, strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
@@ -170,7 +178,7 @@ def cover(members: list[tuple[bytes, bytes]], length: int) -> list[tuple[int, in
 
 def covered(rows: DataFrame, length: int) -> DataFrame:
     """(a, ctx, left, right) for the members of groups; rows of a group arrive next to each other."""
-    schema = StructType([StructField("a", LongType()), StructField("ctx", LongType()), StructField("left", IntegerType()), StructField("right", IntegerType())])
+    schema = StructType([StructField("a", LongType()), StructField("ctx", LongType()), StructField("left", LongType()), StructField("right", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(anchor, group, out):
@@ -197,7 +205,7 @@ def covered(rows: DataFrame, length: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in out], schema=arrow)
 
-    arrow = pa.schema([("a", pa.int64()), ("ctx", pa.int64()), ("left", pa.int32()), ("right", pa.int32())])
+    arrow = pa.schema([("a", pa.int64()), ("ctx", pa.int64()), ("left", pa.int64()), ("right", pa.int64())])
     return rows.mapInArrow(run, schema)
 
 
@@ -206,19 +214,18 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, size: int = ANCHOR) ->
     marks = occurrences(rows, length, size)
     twice = marks.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a")
     marks = written(marks.join(twice, "a", "left_semi"))
-    places = marks.groupBy("a", "ctx").agg(
-        F.count("*").alias("many"), F.min(F.struct("doc", "pos")).alias("rep"), F.first("lc").alias("lc"), F.first("rc").alias("rc")
-    )
-    places = written(places)
+    places = marks.groupBy("a", "ctx").agg(F.count("*").alias("many"), F.min(F.struct("doc", "at")).alias("rep"))
+    places = written(places.select("a", "ctx", "many", "rep.doc", "rep.at"))
+    pos, left, right = unpacked(F.col("at"))
     varied = places.groupBy("a").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("a")
-    alike = places.join(varied, "a", "left_anti").filter("many > 1").select("a", "ctx", F.col("lc").alias("left"), F.col("rc").alias("right"))
-    wanted = places.join(varied, "a", "left_semi")
-    wanted = wanted.groupBy(F.col("rep.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("rep.pos").alias("pos"), "a", "ctx", "many")).alias("wanted"))
+    alike = places.join(varied, "a", "left_anti").filter("many > 1").select("a", "ctx", left.alias("left"), right.alias("right"))
+    wanted = places.join(varied, "a", "left_semi").select("doc", F.struct(pos.alias("pos"), "a", "ctx", "many").alias("w"))
+    wanted = wanted.groupBy("doc").agg(F.collect_list("w").alias("wanted"))
     around = surroundings(rows.join(wanted, "doc").select("text", "wanted"), length, size)
     groups = around.repartition(parts_for(rows), "a").sortWithinPartitions("a")
     found = covered(groups, length).unionByName(alike)
     spans = marks.join(found, ["a", "ctx"])
-    return spans.select("doc", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("end"))
+    return spans.select("doc", (pos - F.col("left")).alias("start"), (pos + F.col("right")).alias("end"))
 
 
 def without_repeats(

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldt.llm import contamination, fingerprint, languages, minhash, oracles, pieces, repeats, tag_paths, toxicity
+from veldt.llm import contamination, fingerprint, languages, minhash, oracles, pieces, repeats, tag_paths, tools, toxicity
 from veldt.llm.common import source, split_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,26 @@ def op2_languages(spark: SparkSession, folder: str) -> DataFrame:
     return languages.label(docs.select("doc_id", "held_out", "text"), model).select(
         "doc_id", "held_out", "lang_pred", "score"
     )
+
+
+@query("op7_tool_calls", oracles.TOOL_CALLS)
+def op7_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    """The tables hold no tool calls, so every turn is read as one: a turn that is not the assistant's calls a tool
+    named after its role with its text, and refers to the call two turns before; an assistant's turn is the result of
+    the call one turn before."""
+    turns = source(spark, folder, "conversations")
+    name = lambda turn: F.concat(F.lit("call-"), turn.cast("string"))
+    calls = turns.filter("role <> 'assistant' OR role IS NULL").select(
+        "conv_id",
+        name(F.col("turn")).alias("call_id"),
+        F.col("role").alias("name"),
+        F.to_json(F.struct("turn", F.col("text").alias("query"), (F.col("turn") > 0).alias("follows"))).alias("arguments"),
+        name(F.col("turn") - 2).alias("after"),
+    )
+    results = turns.filter("role = 'assistant'").select("conv_id", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    schemas = spark.createDataFrame(
+        [("user", "query", "string", True), ("user", "turn", "integer", True), ("user", "follows", "boolean", False),
+         ("system", "query", "string", True), ("system", "turn", "integer", True)],
+        "name string, field string, type string, required boolean",
+    )
+    return tools.linked(calls, results, schemas).withColumn("errors", F.concat_ws(",", "errors"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldt.llm import contamination, fingerprint, languages, minhash, oracles, pieces, repeats, tag_paths, tools, toxicity
+from veldt.llm import contamination, fingerprint, languages, minhash, mixing, oracles, pieces, repeats, tag_paths, tools, toxicity
 from veldt.llm.common import source, split_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,10 @@ def op7_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
         "name string, field string, type string, required boolean",
     )
     return tools.linked(calls, results, schemas).withColumn("errors", F.concat_ws(",", "errors"))
+
+
+@query("op1_mixing")
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = source(spark, folder, "documents").select("doc_id", "text")
+    found = mixing.score(docs.withColumn("held_out", split_of("doc_id", 7) == 2))
+    return found.drop("n_bytes")

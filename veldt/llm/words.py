@@ -59,15 +59,22 @@ def blocks(texts: list[str | None]) -> Iterator[list[bytes]]:
         yield out
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of a run of texts, A-Z lowered, and where each text's words begin (one entry more)."""
+def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A run of texts as one buffer with A-Z lowered, where its words start and end, and where each text's words begin
+    (one entry more)."""
     data = np.frombuffer(b" ".join(texts), dtype=np.uint8)
     data = data + (((data >= 65) & (data <= 90)).astype(np.uint8) << 5)
     space = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.diff(space.astype(np.int8), prepend=1, append=1)
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     texts_at = np.cumsum([0] + [len(t) + 1 for t in texts])
-    return span_hashes(prefix_hashes(data), start, end), np.searchsorted(start, texts_at)
+    return data, start, end, np.searchsorted(start, texts_at)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of a run of texts, and where each text's words begin (one entry more)."""
+    data, start, end, at = word_spans(texts)
+    return span_hashes(prefix_hashes(data), start, end), at
 
 
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:

@@ -60,8 +60,12 @@ def split_by_size(
 
 
 def segments(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Rows in even, ordered segments. The checkpoint fixes the segment numbers for good."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Rows in even, ordered segments of about the group limit, at least one for each shuffle partition.
+
+    The checkpoint fixes the segment numbers for good.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // group_limit(spark)))
     ranged = df.repartitionByRange(parts, *[F.col(k) for k in keys], *order)
     return checkpointed(ranged.withColumn(SEGMENT, F.spark_partition_id()))
 
@@ -116,11 +120,17 @@ def _segmented_totals(
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    zero = F.lit(0)
+
+
+    def carried(name: str) -> Column:
+        """NULL only while neither this segment nor an earlier one has had a value."""
+        here, before = F.col(name), F.col(f"__before_{name}")
+        return F.when(here.isNull(), before).when(before.isNull(), here).otherwise(here + before)
+
     return (
         rows.withColumns({n: F.sum(c).over(inside) for n, c in totals.items()})
         .join(F.broadcast(offsets), match, "left")
-        .withColumns({n: F.col(n) + F.coalesce(F.col(f"__before_{n}"), zero) for n in totals})
+        .withColumns({n: carried(n) for n in totals})
         .select(*df.columns, *totals)
     )
 
@@ -274,14 +284,15 @@ def first_by_hash(df: DataFrame, label: str | None, key: str, wanted: Column) ->
     only the rows of the prefix that holds the cut). The condition itself compares a row's hash
     with a literal, so rows are neither shuffled nor ranked.
     """
-    groups = [label] if label else []
-    hashed = df.select(*groups, F.md5(F.col(key).cast("string")).alias("__hash"))
+    # classes as text, NULL as a class of its own
+    group = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("")) if label else F.lit("")
+    hashed = df.select(group.alias("__group"), F.md5(F.col(key).cast("string")).alias("__hash"))
     hashed = hashed.withColumn("__piece", F.substring("__hash", 1, 4))
-    pieces = hashed.groupBy(*groups, "__piece").agg(F.count(F.lit(1)).alias("__rows"))
-    everything = Window.partitionBy(*groups)
+    pieces = hashed.groupBy("__group", "__piece").agg(F.count(F.lit(1)).alias("__rows"))
+    everything = Window.partitionBy("__group")
     before = everything.orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
     held = pieces.select(
-        *groups,
+        "__group",
         "__piece",
         "__rows",
         F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
@@ -295,19 +306,15 @@ def first_by_hash(df: DataFrame, label: str | None, key: str, wanted: Column) ->
     if not found:
         return F.lit(False)
 
-    def key_of(row):
-        return row[label] if label else True
-
-    group = F.col(label) if label else F.lit(True)
-    places = {key_of(r): r["__place"] for r in found}
+    places = {r["__group"]: r["__place"] for r in found}
     near = hashed.filter(
-        F.col("__piece") == lookup({key_of(r): r["__piece"] for r in found}, "string", group)
+        F.col("__piece") == lookup({r["__group"]: r["__piece"] for r in found}, "string", F.col("__group"))
     )
-    place = F.row_number().over(Window.partitionBy(*groups).orderBy("__hash"))
+    place = F.row_number().over(Window.partitionBy("__group").orderBy("__hash"))
     cuts = near.withColumn("__row", place).filter(
-        F.col("__row") == lookup(places, "long", group)
+        F.col("__row") == lookup(places, "long", F.col("__group"))
     )
-    last = {key_of(r): r["__hash"] for r in cuts.collect()}
+    last = {r["__group"]: r["__hash"] for r in cuts.collect()}
     own = F.md5(F.col(key).cast("string"))
     return F.coalesce(own <= lookup(last, "string", group), F.lit(False))
 

@@ -63,9 +63,10 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 def fit_quantiles(
     train: DataFrame, columns: list[str], probabilities: list[float]
 ) -> dict[str, list[float]]:
-    """Exact quantiles per column as numbers; one row per column reaches the driver."""
+    """Exact quantiles per column as numbers (None without any value); one row per column reaches the driver."""
     rows = exact_quantiles(train, columns, probabilities).collect()
-    return {r["column"]: [r[f"p{i}"] for i in range(len(probabilities))] for r in rows}
+    found = {r["column"]: [r[f"p{i}"] for i in range(len(probabilities))] for r in rows}
+    return {c: found.get(c, [None] * len(probabilities)) for c in columns}
 
 
 def fit_impute(train: DataFrame, columns: list[str], strategy: str) -> dict[str, object]:
@@ -146,7 +147,8 @@ def dedup(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 def fit_iqr(train: DataFrame, columns: list[str], k: float = 1.5) -> dict[str, tuple]:
     quartiles = fit_quantiles(train, columns, [0.25, 0.75])
-    return {c: (a - k * (b - a), b + k * (b - a)) for c, (a, b) in quartiles.items()}
+    fences = {c: (a - k * (b - a), b + k * (b - a)) for c, (a, b) in quartiles.items() if a is not None}
+    return {c: fences.get(c, (None, None)) for c in columns}
 
 
 def flag_iqr(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:

@@ -74,22 +74,28 @@ def profile_by(df: DataFrame, label: str, columns: list[str]) -> DataFrame:
 
 
 def crosstab(df: DataFrame, a: str, b: str, values: list, shares: bool = False) -> DataFrame:
-    """Contingency table with one column per value of ``b``; ``shares`` divides by the row total."""
-    counts = df.groupBy(a).pivot(b, values).agg(F.count(F.lit(1)))
-    cells = [F.coalesce(F.col(f"`{v}`"), F.lit(0)) for v in values]
+    """Contingency table with one column per value of ``b``; ``shares`` divides by all rows of ``a``."""
+    cells = [F.count_if(F.col(b) == F.lit(v)) for v in values]
     if shares:
-        total = sum(cells[1:], cells[0])
-        cells = [F.try_divide(c, total) for c in cells]
-    return counts.select(a, *[c.alias(str(v)) for c, v in zip(cells, values)])
+        cells = [F.try_divide(c, F.count(F.lit(1))) for c in cells]
+    return df.groupBy(a).agg(*[c.alias(str(v)) for c, v in zip(cells, values)])
+
+
+def correlation(a: str | Column, b: str | Column) -> Column:
+    """Pearson correlation; NULL, not an error, where a column is constant."""
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def corr(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns, all in one pass over the rows."""
+    """Pearson correlation of every pair of columns, all in one pass over the rows; NULL for a constant column."""
     pairs = list(combinations(columns, 2))
     wide = df.agg(
         F.array(
             *[
-                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("r"))
+                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(a, b).alias("r"))
                 for a, b in pairs
             ]
         ).alias("cells")

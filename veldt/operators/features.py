@@ -11,6 +11,7 @@ from veldt.functions.columns import signed_log, width_bin
 from veldt.functions.fitting import fit_categories, fit_counts, fit_row, literal, lookup
 from veldt.functions.neighbours import nearest
 from veldt.functions.ordered import first_by_hash, row_numbers, same_keys
+from veldt.operators.eda import correlation
 from veldt.session import checkpointed
 
 
@@ -152,7 +153,7 @@ def rank_features(df: DataFrame, label: str, columns: list[str], method: str) ->
     if method == "variance":
         scores = {c: F.var_pop(c) for c in columns}
     elif method == "correlation":
-        scores = {c: F.abs(F.corr(c, F.col(label).cast("double"))) for c in columns}
+        scores = {c: F.abs(correlation(c, F.col(label).cast("double"))) for c in columns}
     else:
         raise ValueError(f"unknown method {method!r}")
     wide = df.agg(*[s.alias(c) for c, s in scores.items()])

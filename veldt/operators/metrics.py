@@ -15,19 +15,19 @@ from veldt.functions.ordered import running_totals
 
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Counts for every (label, prediction) pair of known classes, zeros included."""
+    """Counts for every (label, prediction) pair of known classes, zeros included; NULL is a class where it occurs."""
     cells = df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"))
     known = (
-        cells.select(F.explode(F.array(label, prediction)).alias("c"))
+        cells.select(F.explode(F.array(F.struct(F.col(label).alias("c")), F.struct(F.col(prediction).alias("c")))).alias("s"))
         .groupBy()
-        .agg(F.sort_array(F.collect_set("c")).alias("classes"))
+        .agg(F.sort_array(F.collect_set("s")).alias("classes"))
     )
     # one row holding the class list, unfolded on both axes: classes squared rows, no join
-    grid = known.select(F.explode("classes").alias(label), "classes").select(
-        label, F.explode("classes").alias(prediction)
-    )
-    return grid.join(cells, [label, prediction], "left").select(
-        label, prediction, F.coalesce("n", F.lit(0)).cast("long").alias("n")
+    grid = known.select(F.explode("classes").alias("a"), "classes").select("a", F.explode("classes").alias("b"))
+    grid = grid.select(F.col("a.c").alias("__label"), F.col("b.c").alias("__prediction"))
+    same = F.col("__label").eqNullSafe(F.col(label)) & F.col("__prediction").eqNullSafe(F.col(prediction))
+    return grid.join(cells, same, "left").select(
+        F.col("__label").alias(label), F.col("__prediction").alias(prediction), F.coalesce("n", F.lit(0)).cast("long").alias("n")
     )
 
 
@@ -83,9 +83,10 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score."""
+    """Positives and negatives per distinct score; NaN counts as NULL, which ranks below every score."""
     positive = F.col(label).cast("long")
-    return df.groupBy(F.col(score).alias("score")).agg(
+    known = F.when(~F.isnan(F.col(score).cast("double")), F.col(score))
+    return df.groupBy(known.alias("score")).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
     )
 
@@ -103,7 +104,7 @@ def _descending(df: DataFrame, label: str, score: str) -> tuple[DataFrame, int,
     running = running_totals(
         counts,
         [],
-        [F.col("score").desc()],
+        [F.col("score").desc_nulls_last()],
         {"tp": F.col("pos"), "fp": F.col("neg")},
         sizes["scores"],
     )

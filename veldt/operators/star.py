@@ -5,17 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veldt.functions.ordered import row_numbers, split_by_size
+from veldt.functions.ordered import group_limit, row_numbers, split_by_size
 
 UNKNOWN = -1
 
 
 # sides whose frequent keys adaptive execution cannot split, per join type
-UNSPLIT = {"full": "both", "full_outer": "both", "outer": "both", "left": "right", "right": "left"}
+UNSPLIT = {"full": "both", "left": "right", "right": "left"}
+# other names Spark has for the same joins, without underscores
+SAME_JOIN = {"outer": "full", "fullouter": "full", "leftouter": "left", "rightouter": "right"}
 
 
 def _has_large_key(df: DataFrame, keys: list[str]) -> bool:
-    """Whether one (present) key covers more rows than one task should hold."""
+    """Whether one (present) key covers more rows than one task should hold.
+
+    Keys are counted only where the side itself has more rows than that.
+    """
+    if df.count() <= group_limit(df.sparkSession):
+        return False
     known = df.dropna(subset=keys).select(*keys)
     return split_by_size(known, keys)[1] is not None
 
@@ -28,16 +35,22 @@ def join(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFram
     if such a side has a very frequent key, the join is put together from an inner join and anti
     joins, which it can split.
     """
-    unsplit = UNSPLIT.get(how)
+    kind = how.lower().replace("_", "")
+    kind = SAME_JOIN.get(kind, kind)
+    unsplit = UNSPLIT.get(kind)
     sides = {"left": [left], "right": [right], "both": [left, right], None: []}[unsplit]
     if not any(_has_large_key(side, on) for side in sides):
         return left.join(right, on, how)
+    # names of their own, so that columns of equal names on both sides stay apart in the unions
+    names = [*on, *(c for c in left.columns if c not in on), *(c for c in right.columns if c not in on)]
+    left = left.select(*on, *(F.col(c).alias(f"__left_{c}") for c in left.columns if c not in on))
+    right = right.select(*on, *(F.col(c).alias(f"__right_{c}") for c in right.columns if c not in on))
     parts = left.join(right, on, "inner")
-    if how != "right":
+    if kind != "right":
         parts = parts.unionByName(left.join(right, on, "left_anti"), allowMissingColumns=True)
-    if how != "left":
+    if kind != "left":
         parts = parts.unionByName(right.join(left, on, "left_anti"), allowMissingColumns=True)
-    return parts
+    return parts.toDF(*names)
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -101,15 +114,15 @@ def star(
 ) -> DataFrame:
     """Aggregate a fact by dimension attributes.
 
-    Measures that add up are summed per surrogate keys first, so only aggregated rows are joined;
-    ``measures`` must therefore be sums or counts over fact columns.
+    The attributes are looked up first and the aggregate is partial before its shuffle, so what is shuffled is one
+    row per attribute combination and task; any aggregate is right as a measure. Facts whose member is unknown (-1)
+    keep their measures, under NULL attributes.
     """
-    keys = [key for _, key in dimensions]
-    out = fact_table.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()])
+    out = fact_table
     for dim, key in dimensions:
         kept = [c for c in dim.columns if c == key or c in by]
-        out = out.join(dim.select(*kept), key)
-    return out.groupBy(*by).agg(*[F.sum(n).alias(n) for n in measures])
+        out = out.join(dim.select(*kept), key, "left")
+    return out.groupBy(*by).agg(*[c.alias(n) for n, c in measures.items()])
 
 
 def orphans(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:

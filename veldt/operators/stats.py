@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veldt.functions.fitting import fit_row, small_frame
+from veldt.operators.eda import correlation
 
 
 def ci_mean(df: DataFrame, column: str, by: list[str], z: float = 1.96) -> DataFrame:
@@ -76,17 +77,31 @@ def chi2(df: DataFrame, a: str, b: str) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
     """Pearson matrix: one pass over the rows, columns squared numbers to the driver."""
     pairs = list(combinations(range(len(columns)), 2))
-    values = fit_row(df, {f"r{i}_{j}": F.corr(columns[i], columns[j]) for i, j in pairs})
+    values = fit_row(df, {f"r{i}_{j}": correlation(columns[i], columns[j]) for i, j in pairs})
     matrix = np.eye(len(columns))
     for i, j in pairs:
-        matrix[i, j] = matrix[j, i] = values[f"r{i}_{j}"]
+        r = values[f"r{i}_{j}"]
+        matrix[i, j] = matrix[j, i] = np.nan if r is None else r
     return matrix
 
 
 def vif(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Variance inflation: the diagonal of the inverted correlation matrix."""
-    factors = np.diag(np.linalg.inv(correlation_matrix(df, columns)))
-    rows = [(c, float(v)) for c, v in zip(columns, factors)]
+    """Variance inflation: the diagonal of the inverted correlation matrix.
+
+    Infinite for a column that the others determine; NULL for a constant one, which the others do not count.
+    """
+    matrix = correlation_matrix(df, columns)
+    varied = [i for i in range(len(columns)) if len(columns) < 2 or not np.isnan(np.delete(matrix[i], i)).all()]
+    inner = matrix[np.ix_(varied, varied)]
+    if varied and np.linalg.cond(inner) < 1e12:
+        factors = dict(zip(varied, np.diag(np.linalg.inv(inner)), strict=True))
+    else:
+        factors = {}
+        for k, i in enumerate(varied):
+            r, rest = np.delete(inner[k], k), np.delete(np.delete(inner, k, 0), k, 1)
+            left = 1 - r @ np.linalg.pinv(rest, rcond=1e-10) @ r
+            factors[i] = 1 / left if left > 1e-10 else float("inf")
+    rows = [(c, float(factors[i]) if i in factors else None) for i, c in enumerate(columns)]
     return small_frame(df.sparkSession, {"feature": "string", "vif": "double"}, rows)
 
 

@@ -306,8 +306,8 @@ def ens_risk(spark, folder):
     return rounded(scored.select("event_id", "label", "score", "prediction"))
 
 
-@query("ml_chain")
-def ml_chain(spark, folder):
+@query("ml_pipeline")
+def ml_pipeline(spark, folder):
     """Preparation and model as one fitted object, saved, loaded and used."""
     train, test = fraud_split(spark, folder)
     chain = Pipeline(

@@ -27,10 +27,16 @@ def src_api_json(spark, folder):
     return payloads.parse_payload(events, "props", "k int").drop("props")
 
 
-UNESCAPE = (
-    "replace(replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'),"
-    " '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')"
-)
+def _unescape_sql() -> str:
+    """The named entities, written for SQL; the pages hold no numeric ones."""
+    out = "{0}"
+    for name, shown in payloads.ENTITIES.items():
+        quoted = shown.replace("'", "''")
+        out = f"replace({out}, '{name}', '{quoted}')"
+    return out
+
+
+UNESCAPE = _unescape_sql()
 
 
 def _sql_text(expr: str) -> str:

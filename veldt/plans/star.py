@@ -158,8 +158,8 @@ def build_fact(spark, folder):
 STAR_SQL = (
     DIMS
     + """SELECT c_mktsegment, p_brand, order_year, round(sum(revenue), 4) AS revenue,
-sum(l_quantity) AS quantity, count(*) AS n FROM f JOIN dc USING (customer_sk) JOIN dp USING (part_sk)
-JOIN dd USING (date_sk) GROUP BY 1, 2, 3"""
+sum(l_quantity) AS quantity, count(*) AS n FROM f LEFT JOIN dc USING (customer_sk) LEFT JOIN dp USING (part_sk)
+LEFT JOIN dd USING (date_sk) GROUP BY 1, 2, 3"""
 )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from veldt.operators.clean import nan_to_null
+
 CORRUPT = "_corrupt_record"
 
 
@@ -17,7 +19,7 @@ def load(
 ) -> DataFrame:
     """Load parquet, csv, json or orc. Text formats need a schema, so nothing is scanned to infer it.
 
-    Rows that do not fit stay in the result, with the raw text in ``_corrupt_record``.
+    NaN becomes NULL, the only mark of a missing value. Rows that do not fit stay in the result, with the raw text in ``_corrupt_record``.
     """
     reader = spark.read.format(fmt)
     if fmt in ("csv", "json"):
@@ -32,7 +34,7 @@ def load(
             reader = reader.option("header", header)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path)
+    return nan_to_null(reader.load(path))
 
 
 def register(spark: SparkSession, folder: str, names: list[str]) -> None:

@@ -2,9 +2,8 @@
 
 Two permutations make all coordinates of a signature: the first spreads the shingles over 32 bits, the second is used
 again for every coordinate after a circular shift. Bands of coordinates give buckets. Documents with equal sets are one
-class from the start. In a bucket, classes are first compared with one pivot. Buckets whose classes are still in
-different components get other pivots, of a different order in each bucket, in the rounds that follow; what is then
-still apart is compared class by class, unless bitmaps of their shingles show that too few can be in common for a link
+class from the start. In a bucket, classes are first compared with one pivot, chosen in an order of the bucket's own, so
+that a class of a large group meets different pivots in its buckets; what is then still apart is compared class by class, unless bitmaps of their shingles show that too few can be in common for a link
 (a bit that only one map has stands for a shingle that only one set has). So every pair that
 meets in a bucket is compared, ruled out or already connected, and a large group costs a few comparisons per member. Links are confirmed on the full shingle sets.
 
@@ -26,7 +25,7 @@ from veldt.llm.words import blocks, mixed, shingle_sets
 WORDS = 5
 SIMILARITY = (3, 4)
 BANDS, ROWS = 32, 4
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
 SET_BYTES = 6
 BITMAP_BITS = 2048
 STEP = 2048
@@ -148,19 +147,20 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates stars around larger and smaller neighbours until nothing changes; only counts reach the driver.
     """
     edges = checkpointed(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
-    state = None
     while True:
+        # done when every node points at one root and no root points further
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("root"))
+        ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("root")))
+        ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+        if ends.filter("up > 1 OR up = 1 AND root = 1").isEmpty():
+            break
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
+        large = large.filter("a <> b")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.col("b").alias("x"), "m").filter("x <> m").select(F.col("x").alias("a"), F.col("m").alias("b"))
+        small = large.join(low, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = checkpointed(small.union(low.select("a", F.col("m").alias("b"))).distinct())
-        seen = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % (1 << 40)).alias("h")).first()
-        if (seen.n, seen.h) == state:
-            break
-        state = (seen.n, seen.h)
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
 
@@ -196,20 +196,24 @@ def near_duplicates(
     sets = sets.join(wanted, sets["set_key"] == wanted["node"], "left_semi")
     sets = written(sets.groupBy("set_key").agg(F.first("shingles").alias("shingles"), F.first("bits").alias("bits")))
 
+    part, whole = similarity
+    sized = F.least("n", "m") * whole >= F.greatest("n", "m") * part
+    common = F.least(F.col("n") - only_in("bits", "bits2"), F.col("m") - only_in("bits2", "bits"))
+    possible = common * whole >= (F.col("n") + F.col("m") - common) * part
+    maps = sets.select(F.col("set_key").alias("a"), "bits", (F.octet_length("shingles") / SET_BYTES).cast("long").alias("n"))
+
     def confirmed(pairs: DataFrame) -> DataFrame:
+        """The links among pairs (a, b): ruled out by bitmaps where these suffice, so that few sets are shipped."""
+        pairs = pairs.join(maps, "a").join(maps.toDF("b", "bits2", "m"), "b").filter(possible).select("a", "b")
         left = sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("left"))
         right = sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("right"))
         return close(pairs.join(left, "a").join(right, "b"), similarity)
 
-    part, whole = similarity
-    sized = F.least("n", "m") * whole >= F.greatest("n", "m") * part
-    common = F.least(F.col("n") - only_in("bits", "bits2"), F.col("m") - only_in("bits2", "bits"))
-    possible = common * whole >= (F.col("n") + F.col("m") - common) * part
     edges = None
     placed = members.withColumn("root", F.col("node"))
     for turn in range(PIVOT_ROUNDS + 1):
         if turn < PIVOT_ROUNDS:
-            first = F.xxhash64("node") if turn == 0 else F.xxhash64("node", "band", F.lit(turn))
+            first = F.xxhash64("node", "band", F.lit(turn))
             pivots = placed.groupBy("band").agg(F.min(F.struct(first.alias("first"), "node", "root", "n")).alias("p"))
             other = pivots.select("band", "p.node", "p.root", "p.n").toDF("band", "b", "other", "m")
             pairs = placed.join(other, "band").filter((F.col("root") != F.col("other")) & sized)

@@ -290,7 +290,7 @@ def leakage_guard(spark, folder):
 
 
 def transactions(spark, folder):
-    """Events with a rare planted class and two numeric features."""
+    """Events with a rare planted class and three numeric features."""
     events = table(spark, folder, "events")
     fraud = (F.col("event_type") == "error") & (F.col("value") > 150)
     return events.select(
@@ -298,6 +298,7 @@ def transactions(spark, folder):
         "value",
         F.get_json_object("props", "$.k").cast("double").alias("k"),
         fraud.cast("int").alias("fraud"),
+        (F.col("event_type") == "error").cast("double").alias("is_error"),
     )
 
 

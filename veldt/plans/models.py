@@ -102,6 +102,7 @@ def noisy_purchases(spark, folder) -> DataFrame:
     flipped = F.col("event_id") % 4 == 0
     return events.select(
         "event_id",
+        "value",
         (F.col("value") / 100).alias("x"),
         ((F.col("value") > 60) != flipped).cast("int").alias("y"),
     )
@@ -198,13 +199,7 @@ FRAUD_XS = ["value", "k"]
 
 
 def fraud_split(spark, folder) -> tuple[DataFrame, DataFrame]:
-    rows = transactions(spark, folder).join(
-        table(spark, folder, "events").select(
-            "event_id", (F.col("event_type") == "error").cast("double").alias("is_error")
-        ),
-        "event_id",
-    )
-    both = f.split(rows, "event_id", 0.25, "fraud")
+    both = f.split(transactions(spark, folder), "event_id", 0.25, "fraud")
     return both.filter("split = 'train'"), both.filter("split = 'test'")
 
 

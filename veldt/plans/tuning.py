@@ -50,9 +50,7 @@ p AS (SELECT y, split, (value > CASE split WHEN 'train' THEN 60 ELSE 80 END)::IN
 
 
 def scored(spark, folder):
-    events = table(spark, folder, "events").select("event_id", "value")
-    label = noisy_purchases(spark, folder).select("event_id", "y")
-    both = f.split(events.join(label, "event_id"), "event_id", 0.25)
+    both = f.split(noisy_purchases(spark, folder), "event_id", 0.25)
     cut = F.when(F.col("split") == "train", 60).otherwise(80)
     return both.withColumns(
         {

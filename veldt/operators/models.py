@@ -243,8 +243,12 @@ def fit_vectors(estimator, train: DataFrame, vector: str, y: str):
         return estimator.copy().setFeaturesCol(FEATURES).setLabelCol(LABEL).fit(rows)
 
 
-def machine(reg: float = 0.01, steps: int = 100, tol: float = 1e-3) -> C.LinearSVC:
-    """An unfitted linear support vector machine for two classes, trained until the loss is equal to about four digits."""
+def machine(reg: float = 0.01, steps: int = 15, tol: float = 1e-3) -> C.LinearSVC:
+    """An unfitted linear support vector machine for two classes.
+
+    The hinge loss has kinks, where the optimizer tries many step lengths, each a pass over the
+    rows. At most ``steps`` steps, or until the loss changes by less than ``tol``.
+    """
     return C.LinearSVC(regParam=reg, maxIter=steps, tol=tol)
 
 

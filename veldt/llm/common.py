@@ -38,7 +38,7 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     use_checkpoints(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,11 +1,8 @@
-"""Tool calls, the pipeline, and every registered query of the folder."""
+"""Tool calls and the pipeline; the queries themselves are run with all others in tests/test_queries.py."""
 
 import json
 import os
 
-import oracle
-import pytest
-
 import __spark_entry__ as entry_module
 import corpus_pipeline
 from veldt.llm import queries, stages, tools
@@ -68,14 +65,6 @@ def test_pipeline(spark):
     assert out.join(toxic, "doc_id", "left_semi").count() <= 0.5 * toxic.count()
 
 
-@pytest.mark.parametrize("key", sorted(queries.QUERIES))
-def test_llm_query(spark, key):
-    got = queries.QUERIES[key](spark, FOLDER).toPandas()
-    assert len(got)
-    if key in queries.ORACLES:
-        assert oracle.difference(got, oracle.connect(FOLDER).execute(queries.ORACLES[key]).df()) is None
-
-
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_module.queries())
     assert sum(k.startswith("op") for k in entry_module.queries()) == 10

@@ -103,6 +103,21 @@ def test_main_text(spark):
     assert len(tag_paths.main_text("<p>" + "very long, " * 50_000)) > 500_000
 
 
+def test_main_text_keeps_short_parts_of_long_pages():
+    sentence = "One, two, three, four; five, six, seven, eight, nine and so on to the end of the line. " * 5
+    parts = (
+        "<ul><li>first item of a list without marks at all<li>short</ul><table><tr><th>Year<td>1999</table>"
+        "<blockquote><p>said so</p></blockquote><figure><img src=x><figcaption>A caption</figcaption></figure>"
+    )
+    wanted = ["first item of a list without marks at all", "short", "Year", "1999", "said so", "A caption"]
+    for n in (10, 300):
+        for tag in ("article", "div class=text"):
+            page = f"<body><nav><a href=/>Home</a></nav><{tag}>{f'<p>{sentence}</p>' * n}{parts}</{tag.split()[0]}><footer>us</footer></body>"
+            assert tag_paths.main_text(page).split("\n") == [sentence.strip()] * n + wanted
+    menu = "<div><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul></div>"
+    assert tag_paths.main_text(f"<body>{menu}<div><h2><a href=/>Head</a></h2><p>{sentence}</p></div>") == f"Head\n{sentence.strip()}"
+
+
 def test_fingerprints_are_homomorphic(edges, nothing):
     of = fingerprint.of_paragraphs
     one, two, three = b"first line of text", b"second, longer line of text", b""

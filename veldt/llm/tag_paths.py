@@ -1,8 +1,9 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read into blocks of text, each with the path of block elements from the root. For every path the length of
-its texts outside links and their punctuation are summed up; a path's ratio is smoothed with its neighbours in the tree
-(parent, children, siblings), fused with what element and class names say, and paths below a share of the best one go.
+its texts outside links and their punctuation are taken per node, so that the length of a page does not matter; a path's
+ratio is smoothed along its ancestors up to the content node and fused with what element and class names say. Paths
+below the content node stay, except mere links; of the others those below a share of the best one go.
 
 Defined results: null or empty html, and pages without a content path, give ''; markup that is cut off or not closed
 is read as far as it goes; repeated rows give repeated rows. Extra columns pass through; a column named like the output
@@ -45,8 +46,11 @@ CLOSED_BY = {
 }
 MAIN = frozenset(("article", "main"))
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡\"“”«»()]")
-NEAR, BESIDE = math.exp(-0.5), math.exp(-2.0)
-SHARE, OUTSIDE = 0.1, 0.2
+CONTAINERS = frozenset("html body div section article main center".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NEAR = math.exp(-0.5)
+SHARE, OUTSIDE, ONLY_LINKS = 0.1, 0.2, 0.05
+MOST, LINKED = 2 / 3, 0.9
 
 
 def names_in(attributes: str) -> set[str]:
@@ -119,30 +123,81 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
     return out
 
 
+def ratio(sums: list[float]) -> float:
+    """Text and punctuation per node, whatever their number; ``sums`` holds length, marks and nodes."""
+    length, marks, nodes = sums
+    return math.sqrt(length / nodes) * (1 + math.log1p(marks / nodes))
+
+
 def main_text(html: str | None) -> str:
-    """The texts of the content blocks, one line each."""
+    """The texts of the content blocks, one line each.
+
+    All paths below the content node (article or main, else the container that most text is in) are kept; paths
+    elsewhere by their ratio.
+    """
     found = [b for b in blocks(html or "") if not b[1]]
     if not found:
         return ""
-    length: dict[tuple, float] = defaultdict(float)
-    marks: dict[tuple, int] = defaultdict(int)
-    nodes: dict[tuple, int] = defaultdict(int)
-    for path, _, text, linked in found:
-        length[path] += max(0, len(text) - linked)
-        marks[path] += len(PUNCTUATION.findall(text))
-        nodes[path] += 1
-    ratio = {p: math.sqrt(length[p]) * (1 + math.log1p(marks[p] / nodes[p])) for p in nodes}
-    below: dict[tuple, float] = defaultdict(float)
-    for p, r in ratio.items():
-        below[p[:-1]] += r
-    has_main = any(x.split(".")[0] in MAIN for p in nodes for x in p)
-    fused = {}
-    for p, r in ratio.items():
-        smooth = r + NEAR * (ratio.get(p[:-1], 0.0) + below.get(p, 0.0)) + BESIDE * (below[p[:-1]] - r)
-        outside = has_main and not any(x.split(".")[0] in MAIN for x in p)
-        fused[p] = smooth * (OUTSIDE if outside else 1.0)
-    least = SHARE * max(fused.values())
-    return "\n".join(text for path, _, text, _ in found if fused[path] >= least)
+    # the tree of paths: a node has a larger number than its parent, the root is 0
+    number: dict[tuple[int, str], int] = {}
+    up, tags = [0], [""]
+    places = []
+    for path, _, _, _ in found:
+        at = 0
+        for label in path:
+            if (at, label) not in number:
+                number[at, label] = len(up)
+                up.append(at)
+                tags.append(label.split(".")[0])
+            at = number[at, label]
+        places.append(at)
+    own = [[0, 0, 0] for _ in up]
+    in_links, letters = [0] * len(up), [0] * len(up)
+    for at, (_, _, text, linked) in zip(places, found, strict=True):
+        for i, x in enumerate((max(0, len(text) - linked), len(PUNCTUATION.findall(text)), 1)):
+            own[at][i] += x
+        in_links[at] += linked
+        letters[at] += len(text)
+    below = [list(x) for x in own]
+    for n in range(len(up) - 1, 0, -1):
+        for i in range(3):
+            below[up[n]][i] += below[n][i]
+    tops = {n for n, tag in enumerate(tags) if tag in MAIN}
+    has_main = bool(tops)
+    tops = tops or {content_node(up, tags, below)}
+    above = {0}
+    for n in range(len(up) - 1, 0, -1):
+        if n in tops or n in above:
+            above.add(up[n])
+    # sums of ratio and weight from a node up to the content node; outside it, up to what does not hold it
+    inside = [n in tops for n in range(len(up))]
+    chain = [(0.0, 0.0)] * len(up)
+    fused = [0.0] * len(up)
+    kept = [False] * len(up)
+    for n in range(len(up)):
+        total, weight = chain[up[n]]
+        inside[n] = inside[n] or n > 0 and inside[up[n]]
+        if inside[n] or n not in above:
+            chain[n] = ratio(below[n]) + NEAR * total, 1 + NEAR * weight
+        if own[n][2]:
+            only_links = in_links[n] >= LINKED * letters[n] and tags[n] not in HEADINGS
+            smooth = (ratio(own[n]) + NEAR * total) / (1 + NEAR * weight)
+            fused[n] = smooth * (OUTSIDE if has_main and not inside[n] else 1.0) * (ONLY_LINKS if only_links else 1.0)
+            kept[n] = inside[n] and not only_links
+    least = SHARE * max(fused)
+    return "\n".join(b[2] for n, b in zip(places, found, strict=True) if kept[n] or fused[n] >= least)
+
+
+def content_node(up: list[int], tags: list[str], below: list[list[float]]) -> int:
+    """The deepest container that holds most of the text of the one above it, from the root down."""
+    boxes: dict[int, int] = {}
+    for n in range(1, len(up)):
+        if tags[n] in CONTAINERS and (up[n] not in boxes or below[n][0] > below[boxes[up[n]]][0]):
+            boxes[up[n]] = n
+    node = 0
+    while node in boxes and below[boxes[node]][0] >= MOST * below[node][0]:
+        node = boxes[node]
+    return node
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

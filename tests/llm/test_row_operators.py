@@ -118,6 +118,23 @@ def test_main_text_keeps_short_parts_of_long_pages():
     assert tag_paths.main_text(f"<body>{menu}<div><h2><a href=/>Head</a></h2><p>{sentence}</p></div>") == f"Head\n{sentence.strip()}"
 
 
+def test_main_text_does_not_hang_on_names():
+    sentence = "One, two, three, four; five, six, seven, eight, nine and so on to the end of the line."
+    body = f"<p>{sentence}</p>" * 3
+    wanted = "\n".join([sentence] * 3)
+    for name in ("content with-sidebar", "page-no-nav", "post-header", "menu", "share widget"):
+        assert tag_paths.main_text(f"<body><div class='{name}'>{body}</div></body>") == wanted
+        assert tag_paths.main_text(f"<body><div class='{name}'><article>{body}</article></div><div class=ad>Buy!</div></body>") == wanted
+    assert tag_paths.main_text(f"<form>{body}</form>") == wanted
+    assert tag_paths.main_text(f"<article>{body}<div class=related>More, of this.</div></article><nav>Go, there.</nav>") == wanted
+    assert tag_paths.main_text("<nav>Go, there.</nav><footer>us</footer>") == tag_paths.main_text("<nav><a href=/>Go</a></nav>") == ""
+    for tag in ("svg", "math", "noscript", "select", "object", "canvas", "template", "iframe"):
+        assert tag_paths.main_text(f"<article><{tag}>{body}</article>") == wanted
+        assert tag_paths.main_text(f"<article><{tag}>not read</{tag}>{body}</article>") == wanted
+    for tag in ("script", "style", "textarea"):
+        assert tag_paths.main_text(f"<article>{body}<{tag}>{body}</article>") == wanted
+
+
 def test_fingerprints_are_homomorphic(edges, nothing):
     of = fingerprint.of_paragraphs
     one, two, three = b"first line of text", b"second, longer line of text", b""

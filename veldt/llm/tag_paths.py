@@ -3,7 +3,7 @@
 A page is read into blocks of text, each with the path of block elements from the root. For every path the length of
 its texts outside links and their punctuation are taken per node, so that the length of a page does not matter; a path's
 ratio is smoothed along its ancestors up to the content node and fused with what element and class names say. Paths
-below the content node stay, except mere links; of the others those below a share of the best one go.
+below the content node stay, except mere links and asides; of the others those below a share of the best one go.
 
 Defined results: null or empty html, and pages without a content path, give ''; markup that is cut off or not closed
 is read as far as it goes; repeated rows give repeated rows. Extra columns pass through; a column named like the output
@@ -25,15 +25,19 @@ from veldt.llm.common import map_rows
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)", re.DOTALL
 )
-NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+NAMES = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var".split()
 )
+#: their contents are skipped; without an end tag only the start tag is, except for those that hold no markup
 UNREAD = frozenset("script style noscript template iframe svg math textarea select object canvas title".split())
+RAW = frozenset("script style textarea".split())
 #: elements that hold something other than the article's text
 ASIDE = frozenset("nav footer aside form button menu dialog head fieldset".split())
+#: those that hold something else however much text they have
+NEVER = frozenset("nav footer aside button menu head".split())
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo sidebar side nav navbar navigation "
     "menu breadcrumb breadcrumbs footer header masthead comment comments disqus respond reply replies cookie cookies "
@@ -49,20 +53,23 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡\"“”«»()]")
 CONTAINERS = frozenset("html body div section article main center".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEAR = math.exp(-0.5)
-SHARE, OUTSIDE, ONLY_LINKS = 0.1, 0.2, 0.05
+SHARE, OUTSIDE, ONLY_LINKS, NAMED = 0.1, 0.2, 0.05, 0.03
 MOST, LINKED = 2 / 3, 0.9
 
 
-def names_in(attributes: str) -> set[str]:
+def names_in(attributes: str) -> tuple[set[str], set[str]]:
+    """(whole names, their parts in letters)."""
     found = " ".join("".join(m) for m in NAMES.findall(attributes)).lower()
-    return set(re.split(r"[^a-z]+", found)) - {""}
+    return set(found.split()), set(re.split(r"[^a-z]+", found)) - {""}
 
 
-def blocks(html: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
-    """(path, whether set aside by name, text, letters in links) of each block in page order."""
-    out: list[tuple[tuple[str, ...], bool, str, int]] = []
+def blocks(html: str) -> list[tuple[tuple[tuple[str, bool], ...], str, int]]:
+    """(path, text, letters in links) of each block in page order; a step of a path is its label, and whether its names
+    or its tag tell of something other than content."""
+    out: list[tuple[tuple[tuple[str, bool], ...], str, int]] = []
     open_: list[tuple[str, str, bool]] = []
     held: list[str] = []
+    without_end: set[str] = set()
     linked = links = 0
     at, size = 0, len(html)
 
@@ -71,7 +78,7 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
         if held:
             text = " ".join(references.unescape("".join(held)).split())
             if text:
-                out.append((tuple(x[1] for x in open_), any(x[2] for x in open_), text, linked))
+                out.append((tuple(x[1:] for x in open_), text, linked))
             held.clear()
         linked = 0
 
@@ -104,19 +111,24 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
                     break
             continue
         if tag in UNREAD:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
-            if not m[0].endswith("/>"):
-                at = end.end() if end else size
+            if not m[0].endswith("/>") and tag not in without_end:
+                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
+                if end:
+                    at = end.end()
+                elif tag in RAW:
+                    at = size
+                else:
+                    without_end.add(tag)
             continue
         if open_ and open_[-1][0] == "p":
             open_.pop()
         while open_ and open_[-1][0] in CLOSED_BY.get(tag, ()):
             open_.pop()
-        names = names_in(m[3])
+        names, parts = names_in(m[3])
         inside = any(x[0] in MAIN for x in open_)
         aside = tag in ASIDE or tag == "header" and not inside
         aside = aside or bool(names & HINTS) and tag not in ("html", "body", *MAIN)
-        label = tag if not names else f"{tag}.{'.'.join(sorted(names))}"
+        label = tag if not parts else f"{tag}.{'.'.join(sorted(parts))}"
         links = 0
         open_.append((tag, label, aside))
     flush()
@@ -133,27 +145,29 @@ def main_text(html: str | None) -> str:
     """The texts of the content blocks, one line each.
 
     All paths below the content node (article or main, else the container that most text is in) are kept; paths
-    elsewhere by their ratio.
+    elsewhere by their ratio. What an element or its names tell lowers a path's ratio, unless the element holds most
+    of the page's text (of article and main, where there are any).
     """
-    found = [b for b in blocks(html or "") if not b[1]]
+    found = blocks(html or "")
     if not found:
         return ""
     # the tree of paths: a node has a larger number than its parent, the root is 0
-    number: dict[tuple[int, str], int] = {}
-    up, tags = [0], [""]
+    number: dict[tuple[int, tuple[str, bool]], int] = {}
+    up, tags, aside = [0], [""], [False]
     places = []
-    for path, _, _, _ in found:
+    for path, _, _ in found:
         at = 0
-        for label in path:
-            if (at, label) not in number:
-                number[at, label] = len(up)
+        for step in path:
+            if (at, step) not in number:
+                number[at, step] = len(up)
                 up.append(at)
-                tags.append(label.split(".")[0])
-            at = number[at, label]
+                tags.append(step[0].split(".")[0])
+                aside.append(step[1])
+            at = number[at, step]
         places.append(at)
     own = [[0, 0, 0] for _ in up]
     in_links, letters = [0] * len(up), [0] * len(up)
-    for at, (_, _, text, linked) in zip(places, found, strict=True):
+    for at, (_, text, linked) in zip(places, found, strict=True):
         for i, x in enumerate((max(0, len(text) - linked), len(PUNCTUATION.findall(text)), 1)):
             own[at][i] += x
         in_links[at] += linked
@@ -162,7 +176,18 @@ def main_text(html: str | None) -> str:
     for n in range(len(up) - 1, 0, -1):
         for i in range(3):
             below[up[n]][i] += below[n][i]
-    tops = {n for n, tag in enumerate(tags) if tag in MAIN}
+    mains = [tag in MAIN for tag in tags]
+    for n in range(1, len(up)):
+        mains[n] = mains[n] or mains[up[n]]
+    counted = mains if any(x[0] for x, main in zip(own, mains, strict=True) if main) else [True] * len(up)
+    text_below = [x[0] if c else 0 for x, c in zip(own, counted, strict=True)]
+    for n in range(len(up) - 1, 0, -1):
+        text_below[up[n]] += text_below[n]
+    for n in range(1, len(up)):
+        aside[n] = aside[up[n]] or aside[n] and (tags[n] in NEVER or text_below[n] < MOST * max(1, text_below[0]))
+    if all(aside[n] for n in places):
+        return ""
+    tops = {n for n, tag in enumerate(tags) if tag in MAIN and not aside[n]}
     has_main = bool(tops)
     tops = tops or {content_node(up, tags, below)}
     above = {0}
@@ -183,9 +208,10 @@ def main_text(html: str | None) -> str:
             only_links = in_links[n] >= LINKED * letters[n] and tags[n] not in HEADINGS
             smooth = (ratio(own[n]) + NEAR * total) / (1 + NEAR * weight)
             fused[n] = smooth * (OUTSIDE if has_main and not inside[n] else 1.0) * (ONLY_LINKS if only_links else 1.0)
-            kept[n] = inside[n] and not only_links
+            fused[n] *= NAMED if aside[n] else 1.0
+            kept[n] = inside[n] and not only_links and not aside[n]
     least = SHARE * max(fused)
-    return "\n".join(b[2] for n, b in zip(places, found, strict=True) if kept[n] or fused[n] >= least)
+    return "\n".join(b[1] for n, b in zip(places, found, strict=True) if kept[n] or fused[n] >= least)
 
 
 def content_node(up: list[int], tags: list[str], below: list[list[float]]) -> int:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from veldt.operators import metrics as m
 from veldt.operators import models as mo
+from veldt.operators import projects as p
 from veldt.operators import tuning as t
 
 
@@ -140,3 +141,23 @@ def test_risk_vote_takes_the_cheapest_cut(spark):
     scored, cut = mo.risk_vote(df, df, "y", {"p": 1.0, "q": 3.0}, [0.1, 0.4, 0.9], 1.0, 5.0)
     assert cut == 0.4
     assert sorted(r.prediction for r in scored.collect()) == [0, 0, 1]
+
+
+def test_machines_end_by_tolerance(spark):
+    rng = np.random.default_rng(3)
+    xs = rng.normal(size=(800, 30)) * np.geomspace(1, 20, 30)
+    y = (xs @ rng.normal(size=30) + rng.normal(size=800) * 20 > 0).astype(int)
+    names = [f"x{i}" for i in range(30)]
+    df = spark.createDataFrame([(int(b), *map(float, a)) for a, b in zip(xs, y)], ["y", *names])
+    model = mo.fit_vectors(mo.machine(), mo.assemble(df, names).withColumnRenamed(mo.FEATURES, "v"), "v", "y")
+    assert 15 < model.summary().totalIterations and mo.converged(model)
+
+
+def test_terms_do_not_share_places(spark):
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    texts = [(d, " ".join(name(i) for i in range(d * 1000, d * 1000 + 1000))) for d in range(40)]
+    df = spark.createDataFrame([*texts, (40, name(0) + " zzzzzz")], "doc_id long, text string")
+    vectors = [r.term_vector for r in p.term_vectors(df.filter("doc_id < 40"), df, "text").orderBy("doc_id").collect()]
+    places = [i for v in vectors[:40] for i in v.indices]
+    assert len(places) == len(set(places)) == vectors[0].size == 40_000
+    assert len(vectors[40].indices) == 1 and vectors[40].indices[0] in vectors[0].indices

@@ -6,6 +6,7 @@ Feature columns are plain doubles; they are assembled here.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 import numpy as np
@@ -240,14 +241,23 @@ def fit_vectors(estimator, train: DataFrame, vector: str, y: str):
     """As ``fit``, for a frame that already holds the feature vector."""
     columns = [F.col(vector).alias(FEATURES), F.col(y).cast("double").alias(LABEL)]
     with training_cache(train.select(*columns)) as rows:
-        return estimator.copy().setFeaturesCol(FEATURES).setLabelCol(LABEL).fit(rows)
+        model = estimator.copy().setFeaturesCol(FEATURES).setLabelCol(LABEL).fit(rows)
+    if isinstance(model, C.LinearSVCModel) and not converged(model):
+        warnings.warn(f"the machine did not converge in {model.getMaxIter()} steps", stacklevel=2)
+    return model
 
 
-def machine(reg: float = 0.01, steps: int = 15, tol: float = 1e-3) -> C.LinearSVC:
+def converged(model: C.LinearSVCModel) -> bool:
+    """Whether training ended by the tolerance, not by the step limit."""
+    return model.summary().totalIterations < model.getMaxIter()
+
+
+def machine(reg: float = 0.01, steps: int = 100, tol: float = 1e-3) -> C.LinearSVC:
     """An unfitted linear support vector machine for two classes.
 
     The hinge loss has kinks, where the optimizer tries many step lengths, each a pass over the
-    rows. At most ``steps`` steps, or until the loss changes by less than ``tol``.
+    rows. Trained until the loss changes by less than ``tol``; ``fit_vectors`` warns where
+    ``steps`` steps were not enough.
     """
     return C.LinearSVC(regParam=reg, maxIter=steps, tol=tol)
 

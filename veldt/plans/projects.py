@@ -38,9 +38,6 @@ def p_fraud(spark, folder):
     return rounded(report)
 
 
-TERM_BUCKETS = 1 << 14
-
-
 @query("p_news_topics")
 def p_news_topics(spark, folder):
     """Language of whole documents: logistic regression, and calibrated linear machines, over term vectors."""
@@ -49,9 +46,9 @@ def p_news_topics(spark, folder):
     docs = f.ordinal(docs, "lang", langs, "label")
     docs = f.split(docs, "doc_id", 0.25, "label")
     train, test = docs.filter("split = 'train'"), docs.filter("split = 'test'")
-    vectors = p.term_vectors(train, train, "text", TERM_BUCKETS)
+    vectors = p.term_vectors(train, train, "text")
     vectors = mo.stratified_folds(vectors, "doc_id", "label", 3)
-    test = p.term_vectors(train, test, "text", TERM_BUCKETS)
+    test = p.term_vectors(train, test, "text")
     search, _ = t.grid_search_vectors(
         vectors,
         C.LogisticRegression(maxIter=20),
@@ -63,7 +60,7 @@ def p_news_topics(spark, folder):
         3,
     )
     with training_cache(vectors.select("label", "fold", "term_vector")) as rows:
-        scored = mo.calibrated(rows, test, "label", "term_vector", "fold", 3, mo.machine(steps=5))
+        scored = mo.calibrated(rows, test, "label", "term_vector", "fold", 3, mo.machine())
     scored = scored.withColumnRenamed("term_vector", mo.FEATURES)
     scored = mo.predict_vectors(search.bestModel, scored, "by_logistic")
     shares = F.array(*[F.col(f"p_{i}") for i in range(len(langs))])

@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldt.llm import contamination, fingerprint, languages, minhash, mixing, oracles, pieces, repeats, tag_paths, tools, toxicity
+from veldt.llm import (
+    byte_bpe,
+    contamination,
+    fingerprint,
+    languages,
+    middle,
+    minhash,
+    mixing,
+    oracles,
+    pieces,
+    repeats,
+    tag_paths,
+    tools,
+    toxicity,
+    whitening,
+)
 from veldt.llm.common import source, split_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +144,26 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = source(spark, folder, "documents").select("doc_id", "text")
     found = mixing.score(docs.withColumn("held_out", split_of("doc_id", 7) == 2))
     return found.drop("n_bytes")
+
+
+@query("op11_whitening")
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(source(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query("op12_middle")
+def op12_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return middle.digests(source(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op13_byte_bpe")
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = byte_bpe.encode(source(spark, folder, "documents").select("doc_id", "text"), ranks, pattern).drop("text")
+    return byte_bpe.decode(ids, ranks, pattern).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

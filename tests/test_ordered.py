@@ -99,8 +99,8 @@ def test_hashed_positions_and_first_rows(rows):
         )
 
 
-def test_exact_quantiles(small_limit, rows):
-    got = ordered.exact_quantiles(rows, ["value", "id"], [0.1, 0.5, 0.99], ["key"])
+def test_counted_quantiles(small_limit, rows):
+    got = ordered.counted_quantiles(rows, ["value", "id"], [0.1, 0.5, 0.99], ["key"])
     plain = rows.groupBy("key").agg(
         *[
             F.percentile(c, F.lit(p)).alias(f"{c}_{i}")

@@ -319,7 +319,7 @@ def first_by_hash(df: DataFrame, label: str | None, key: str, wanted: Column) ->
     return F.coalesce(own <= lookup(last, "string", group), F.lit(False))
 
 
-def exact_quantiles(
+def counted_quantiles(
     df: DataFrame, columns: list[str], probabilities: list[float], by: list[str] | None = None
 ) -> DataFrame:
     """Interpolated quantiles as rows (by..., column, p0, p1, ...), exact at any size.

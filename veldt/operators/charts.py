@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veldt.functions.columns import width_bin
-from veldt.functions.ordered import exact_quantiles, same_keys
+from veldt.functions.ordered import same_keys
+from veldt.functions.quantiles import exact_quantiles
 
 
 def histogram(df: DataFrame, column: str, width: float) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veldt.functions.fitting import fit_row, literal
-from veldt.functions.ordered import exact_quantiles, same_keys
+from veldt.functions.ordered import same_keys
+from veldt.functions.quantiles import exact_quantiles
 
 
 def project(df: DataFrame, exprs: dict[str, Column | str]) -> DataFrame:

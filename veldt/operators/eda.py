@@ -7,8 +7,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veldt.functions.comoments import comoments
 from veldt.functions.fitting import literal
-from veldt.functions.ordered import exact_quantiles
+from veldt.functions.quantiles import exact_quantiles
 
 
 def aggregate(
@@ -81,26 +82,16 @@ def crosstab(df: DataFrame, a: str, b: str, values: list, shares: bool = False)
     return df.groupBy(a).agg(*[c.alias(str(v)) for c, v in zip(cells, values)])
 
 
-def correlation(a: str | Column, b: str | Column) -> Column:
-    """Pearson correlation; NULL, not an error, where a column is constant."""
-    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
-    both = a.isNotNull() & b.isNotNull()
-    x, y = F.when(both, a), F.when(both, b)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def corr(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every pair of columns, all in one pass over the rows; NULL for a constant column."""
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(
-        F.array(
-            *[
-                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(a, b).alias("r"))
-                for a, b in pairs
-            ]
-        ).alias("cells")
-    )
-    return wide.select(F.explode("cells").alias("c")).select("c.*")
+    matrix = comoments(df, columns)[()].correlations()
+    rows = [(columns[i], columns[j], number(matrix[i, j])) for i, j in combinations(range(len(columns)), 2)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
+def number(value: float) -> float | None:
+    """NaN as None."""
+    return None if value != value else float(value)
 
 
 def shape(df: DataFrame, columns: list[str]) -> DataFrame:

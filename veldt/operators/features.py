@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veldt.functions.columns import signed_log, width_bin
-from veldt.functions.fitting import fit_categories, fit_counts, fit_row, literal, lookup
+from veldt.functions.comoments import comoments
+from veldt.functions.fitting import fit_categories, fit_counts, fit_row, literal, lookup, small_frame
 from veldt.functions.neighbours import nearest
 from veldt.functions.ordered import first_by_hash, row_numbers, same_keys
-from veldt.operators.eda import correlation
 from veldt.session import checkpointed
 
 
@@ -150,14 +150,13 @@ def oversample(df: DataFrame, label: str, key: str) -> DataFrame:
 
 def rank_features(df: DataFrame, label: str, columns: list[str], method: str) -> DataFrame:
     """Rows (feature, score): variance, or absolute correlation with a numeric label."""
-    if method == "variance":
-        scores = {c: F.var_pop(c) for c in columns}
-    elif method == "correlation":
-        scores = {c: F.abs(correlation(c, F.col(label).cast("double"))) for c in columns}
-    else:
+    if method not in ("variance", "correlation"):
         raise ValueError(f"unknown method {method!r}")
-    wide = df.agg(*[s.alias(c) for c, s in scores.items()])
-    return wide.unpivot([], columns, "feature", "score")
+    if method == "variance":
+        return df.agg(*[F.var_pop(c).alias(c) for c in columns]).unpivot([], columns, "feature", "score")
+    matrix = comoments(df, [*columns, label])[()].correlations()
+    scores = [None if r != r else abs(float(r)) for r in matrix[-1, :-1]]
+    return small_frame(df.sparkSession, {"feature": "string", "score": "double"}, list(zip(columns, scores, strict=True)))
 
 
 def select_features(

@@ -14,11 +14,12 @@ from pyspark.ml import classification as C
 from pyspark.ml import clustering as K
 from pyspark.ml import regression as R
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veldt.functions.comoments import comoments
 from veldt.functions.fitting import fit_counts, fit_row, literal, small_frame
 from veldt.functions.ordered import hashed_positions
 from veldt.operators.features import standardize
@@ -318,7 +319,10 @@ def calibrated_svm(
 
 
 def importance(model, xs: list[str]) -> list[tuple[str, float]]:
-    """(feature, share): tree importances, or absolute linear coefficients scaled to sum to 1."""
+    """(feature, share): tree importances, or absolute linear coefficients scaled to sum to 1.
+
+    ``importance.permutation_importance`` works for every model, boosted trees included.
+    """
     if hasattr(model, "featureImportances"):
         raw = [float(v) for v in model.featureImportances.toArray()]
     else:
@@ -383,11 +387,14 @@ def pca(
 ) -> tuple[DataFrame, list[list[float]], list[float]]:
     """Principal components of standardised columns: (scores pc1..pck, loadings, explained shares).
 
-    Spark does not centre in ``transform``, so columns are standardised first. Each component is
-    turned so that its largest loading (the first one on ties) is positive.
+    The products of all columns come from one pass over the complete rows of ``train``; a column
+    that does not vary has no part in any component. Each component is turned so that its largest
+    loading (the first one on ties) is positive.
     """
-    model = _fit_pca(standardize(train, train, xs), xs, k)
-    matrix = model.pc.toArray()
+    products = comoments(train, xs, complete=True)[()].correlations()
+    varied = ~np.isnan(np.diagonal(products))
+    values, vectors = np.linalg.eigh(np.where(varied[:, None] & varied, products, 0.0))
+    values, matrix = np.maximum(values[::-1], 0.0), vectors[:, ::-1]
     loadings = []
     for j in range(k):
         column = matrix[:, j]
@@ -399,15 +406,10 @@ def pca(
         f"pc{j + 1}": reduce(lambda a, b: a + b, [F.col(x) * F.lit(w) for x, w in zip(xs, ws)])
         for j, ws in enumerate(loadings)
     }
-    explained = [float(v) for v in model.explainedVariance.toArray()]
+    explained = [float(v / (values.sum() or 1.0)) for v in values[:k]]
     return scored.withColumns(components), loadings, explained
 
 
-def _fit_pca(train: DataFrame, xs: list[str], k: int):
-    with training_cache(assemble(train, xs).select(FEATURES)) as rows:
-        return PCA(k=k, inputCol=FEATURES, outputCol="__pc").fit(rows)
-
-
 def nearest_center(xs: list[str], centers: list[list[float]]) -> Column:
     """Index of the closest centre; the lower index on ties."""
     distances = []

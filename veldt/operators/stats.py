@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veldt.functions.fitting import fit_row, small_frame
-from veldt.operators.eda import correlation
+from veldt.functions.comoments import comoments
+from veldt.functions.fitting import small_frame
 
 
 def ci_mean(df: DataFrame, column: str, by: list[str], z: float = 1.96) -> DataFrame:
@@ -76,12 +74,8 @@ def chi2(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> np.ndarray:
     """Pearson matrix: one pass over the rows, columns squared numbers to the driver."""
-    pairs = list(combinations(range(len(columns)), 2))
-    values = fit_row(df, {f"r{i}_{j}": correlation(columns[i], columns[j]) for i, j in pairs})
-    matrix = np.eye(len(columns))
-    for i, j in pairs:
-        r = values[f"r{i}_{j}"]
-        matrix[i, j] = matrix[j, i] = np.nan if r is None else r
+    matrix = comoments(df, columns)[()].correlations()
+    np.fill_diagonal(matrix, 1.0)
     return matrix
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from veldt.functions.fitting import small_frame
 from veldt.operators import features as f
+from veldt.operators import importance as imp
 from veldt.operators import metrics as m
 from veldt.operators import models as mo
 from veldt.operators.metrics import rounded
@@ -238,8 +239,45 @@ def clf_calibrated(spark, folder):
     )
 
 
-@query("feature_importance")
+# a given score: a purchase is expected of a high value, of a low one only with a high k
+RULE = "value + 4 * k > 100"
+PERMUTED = f"""WITH e AS (SELECT event_id, value, json_extract_string(props, '$.k')::DOUBLE AS k, (event_id % 7)::DOUBLE AS w,
+((value > 60) <> (event_id % 4 = 0))::INTEGER AS y FROM events),
+a AS (SELECT *, row_number() OVER (ORDER BY md5(event_id::VARCHAR), event_id) AS r FROM e),
+b AS (SELECT value AS dv, k AS dk, row_number() OVER (ORDER BY md5(event_id::VARCHAR || '-donor'), event_id::VARCHAR || '-donor') AS r FROM e),
+j AS (SELECT y, ({RULE})::INT AS base, (dv + 4 * k > 100)::INT AS pv, (value + 4 * dk > 100)::INT AS pk FROM a JOIN b USING (r)),
+s AS (SELECT avg((y = base)::INT) AS base, avg((y = pv)::INT) AS v, avg((y = pk)::INT) AS k FROM j)
+SELECT 'value' AS feature, round(v, 6) AS accuracy, round(base - v, 6) AS importance FROM s
+UNION ALL SELECT 'k', round(k, 6), round(base - k, 6) FROM s UNION ALL SELECT 'w', round(base, 6), 0.0 FROM s"""
+
+
+@query("feature_importance", PERMUTED)
 def feature_importance(spark, folder):
+    """By permutation, for a given score that does not use one of the features."""
+    k = F.get_json_object("props", "$.k").cast("double")
+    flipped = F.col("event_id") % 4 == 0
+    rows = table(spark, folder, "events").select(
+        "event_id", "value", k.alias("k"), (F.col("event_id") % 7).cast("double").alias("w"),
+        ((F.col("value") > 60) != flipped).cast("int").alias("y"),
+    )
+    expected = F.expr(RULE).cast("int")
+    return rounded(
+        imp.permutation_importance(rows, "event_id", "y", ["value", "k", "w"], lambda d: d.withColumn("prediction", expected))
+    )
+
+
+@query("feature_importance_boosted")
+def feature_importance_boosted(spark, folder):
+    """By permutation, for boosted trees, on rows that they did not see."""
+    train, test = fraud_split(spark, folder)
+    model = mo.boosted(train, "fraud", FULL_XS)
+    return rounded(
+        imp.permutation_importance(test, "event_id", "fraud", FULL_XS, lambda d: mo.predict(model, d, FULL_XS))
+    )
+
+
+@query("feature_importance_shares")
+def feature_importance_shares(spark, folder):
     train, _ = fraud_split(spark, folder)
     rows = [("forest", *r) for r in mo.importance(mo.forest(train, "fraud", FULL_XS), FULL_XS)]
     scaled = f.standardize(train, train, FULL_XS)

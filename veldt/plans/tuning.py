@@ -6,6 +6,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.sql import functions as F
 
 from veldt.operators import features as f
+from veldt.operators import folds as fo
 from veldt.operators import models as mo
 from veldt.operators import tuning as t
 from veldt.operators.metrics import rounded
@@ -23,15 +24,84 @@ def kfold_stratified(spark, folder):
     return mo.stratified_folds(rows, "o_orderkey", "o_orderstatus", 5)
 
 
-@query("cross_validate")
+# all folds of a Bayes model: the training side of a fold is every other fold
+FOLDED = """WITH e AS (SELECT event_id, value / 100 AS x, json_extract_string(props, '$.k')::DOUBLE / 10 AS z,
+((value > 60) <> (event_id % 4 = 0))::INTEGER AS y FROM events),
+d AS (SELECT *, ((row_number() OVER (PARTITION BY y ORDER BY md5(event_id::VARCHAR), event_id) - 1) % 5)::INTEGER AS fold FROM e)
+"""
+BAYES_FOLDS = FOLDED + """, g AS (SELECT DISTINCT fold AS f FROM d),
+t AS (SELECT f, y AS c, count(*) AS n, avg(x) AS mx, var_pop(x) AS vx, avg(z) AS mz, var_pop(z) AS vz
+FROM d JOIN g ON fold <> f GROUP BY ALL),
+w AS (SELECT f, count(*) AS total, 1e-9 * greatest(var_pop(x), var_pop(z)) AS extra FROM d JOIN g ON fold <> f GROUP BY f),
+s AS (SELECT event_id, fold, y, c, ln(n / total) - 0.5 * ln(2 * pi() * (vx + extra)) - pow(x - mx, 2) / (2 * (vx + extra))
+- 0.5 * ln(2 * pi() * (vz + extra)) - pow(z - mz, 2) / (2 * (vz + extra)) AS score
+FROM d JOIN t ON fold = t.f JOIN w ON fold = w.f),
+p AS (SELECT fold, y, c AS prediction FROM s QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY score DESC, c) = 1),
+a AS (SELECT fold, count(*) AS n, avg((y = prediction)::INT) AS accuracy FROM p GROUP BY fold)
+"""
+
+
+def folded(spark, folder):
+    k = F.get_json_object("props", "$.k").cast("double") / 10
+    rows = noisy_purchases(spark, folder).join(table(spark, folder, "events").select("event_id", k.alias("z")), "event_id")
+    return mo.stratified_folds(rows, "event_id", "y", 5)
+
+
+@query(
+    "cross_validate",
+    BAYES_FOLDS
+    + "SELECT count(*) AS folds, round(avg(accuracy), 6) AS mean, round(stddev_pop(accuracy), 6) AS sd FROM a",
+)
 def cross_validate(spark, folder):
+    return rounded(fo.bayes_cross_validate(folded(spark, folder), "y", ["x", "z"], "fold"))
+
+
+@query("cross_validate_folds", BAYES_FOLDS + "SELECT fold, n, round(accuracy, 6) AS accuracy FROM a")
+def cross_validate_folds(spark, folder):
+    scored = fo.bayes_out_of_fold(folded(spark, folder), "y", ["x", "z"], "fold")
+    return rounded(fo.fold_accuracy(scored, "y", "prediction", "fold"))
+
+
+ALPHAS = [0.0, 1000.0, 100000.0, 10000000.0]
+
+
+@query(
+    "grid_search",
+    """WITH d AS (SELECT (l_orderkey % 5)::INTEGER AS fold, l_quantity AS x, l_discount * 100 AS z,
+l_extendedprice / 1000 + l_quantity - l_discount * 300 AS y FROM lineitem),
+g AS (SELECT DISTINCT fold AS f FROM d),
+t AS (SELECT f, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, count(*) * var_pop(x) AS xx, count(*) * var_pop(z) AS zz,
+count(*) * covar_pop(x, z) AS xz, count(*) * covar_pop(x, y) AS xy, count(*) * covar_pop(z, y) AS zy
+FROM d JOIN g ON fold <> f GROUP BY f),
+q AS (SELECT f, alpha, mx, mz, my, (xy * (zz + alpha) - zy * xz) / ((xx + alpha) * (zz + alpha) - xz * xz) AS bx,
+(zy * (xx + alpha) - xy * xz) / ((xx + alpha) * (zz + alpha) - xz * xz) AS bz
+FROM t, unnest([0.0, 1000.0, 100000.0, 10000000.0]::DOUBLE[]) AS u(alpha)),
+e AS (SELECT alpha, fold, sqrt(avg(pow(y - my - bx * (x - mx) - bz * (z - mz), 2))) AS rmse,
+1 - sum(pow(y - my - bx * (x - mx) - bz * (z - mz), 2)) / (count(*) * var_pop(y)) AS r2
+FROM d JOIN q ON fold = f GROUP BY alpha, fold),
+r AS (SELECT alpha, count(*)::INTEGER AS folds, avg(rmse) AS mean_rmse, stddev_pop(rmse) AS sd_rmse, avg(r2) AS mean_r2 FROM e GROUP BY alpha)
+SELECT alpha, folds, round(mean_rmse, 6) AS mean_rmse, round(sd_rmse, 6) AS sd_rmse, round(mean_r2, 6) AS mean_r2,
+(row_number() OVER (ORDER BY mean_rmse, alpha) = 1)::INTEGER AS is_best FROM r""",
+)
+def grid_search(spark, folder):
+    rows = table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") % 5).cast("int").alias("fold"),
+        F.col("l_quantity").alias("x"),
+        (F.col("l_discount") * 100).alias("z"),
+        (F.col("l_extendedprice") / 1000 + F.col("l_quantity") - F.col("l_discount") * 300).alias("y"),
+    )
+    return rounded(fo.ridge_search(rows, "y", ["x", "z"], "fold", ALPHAS))
+
+
+@query("cross_validate_refit")
+def cross_validate_refit(spark, folder):
     rows = mo.stratified_folds(noisy_purchases(spark, folder), "event_id", "y", 3)
     mean, sd = t.cross_validate(rows, LogisticRegression(), "y", ["x"], "accuracy", "fold", 3)
     return rounded(t.score_table(rows, [("default", mean, sd)]))
 
 
-@query("grid_search")
-def grid_search(spark, folder):
+@query("grid_search_refit")
+def grid_search_refit(spark, folder):
     rows = mo.stratified_folds(noisy_purchases(spark, folder), "event_id", "y", 3)
     params = {"maxDepth": [1, 3], "minInstancesPerNode": [1, 20]}
     _, scores = t.grid_search(

@@ -85,3 +85,18 @@ def test_imputation_and_gaps(spark):
 def test_vif_of_independent_columns_is_near_one(rows):
     factors = {r.feature: r.vif for r in stats.vif(rows, ["a", "b"]).collect()}
     assert all(1 <= v < 1.1 for v in factors.values())
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_null_is_a_class_for_balancing(spark, empty):
+    rows = [(i, None if i < 20 else ("a" if i < 50 else "b")) for i in range(100)]
+    df = spark.createDataFrame(rows, "key int, y string")
+    if empty:
+        df = df.limit(0)
+        assert f.undersample(df, "y", "key").count() == f.oversample(df, "y", "key").count() == f.class_weights(df, "y").count() == 0
+        return
+    under = {r["y"]: r["count"] for r in f.undersample(df, "y", "key").groupBy("y").count().collect()}
+    over = {r["y"]: r["count"] for r in f.oversample(df, "y", "key").groupBy("y").count().collect()}
+    assert under == {None: 20, "a": 20, "b": 20} and over == {None: 50, "a": 50, "b": 50}
+    weights = {r["y"]: r["weight"] for r in f.class_weights(df, "y").select("y", "weight").distinct().collect()}
+    assert weights == {None: 100 / 60, "a": 100 / 90, "b": 100 / 150}

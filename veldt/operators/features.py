@@ -125,25 +125,35 @@ def split(df: DataFrame, key: str, test_share: float, label: str | None = None)
     return df.withColumn("split", F.when(taken, "test").otherwise("train"))
 
 
+def class_name(label: str) -> Column:
+    """A class as text; NULL is a class of its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
+
+
+def class_sizes(df: DataFrame, label: str) -> dict[str, int]:
+    """Rows of each class by ``class_name``."""
+    return fit_counts(df.select(class_name(label).alias(label)), label)
+
+
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """rows / (classes * rows of the class)."""
-    counts = fit_counts(df, label)
+    """rows / (classes * rows of the class); NULL is a class like others."""
+    counts = class_sizes(df, label)
     total = sum(counts.values())
     weights = {c: total / (len(counts) * n) for c, n in counts.items()}
-    return df.withColumn(name, lookup(weights, "double", F.col(label)))
+    return df.withColumn(name, lookup(weights, "double", class_name(label)))
 
 
 def undersample(df: DataFrame, label: str, key: str) -> DataFrame:
-    """Cut every class to the size of the smallest, keeping the first rows in md5(key) order."""
-    smallest = min(fit_counts(df, label).values())
+    """Cut every class, NULL among them, to the size of the smallest, keeping the first rows in md5(key) order."""
+    smallest = min(class_sizes(df, label).values(), default=0)
     return df.filter(first_by_hash(df, label, key, F.lit(smallest)))
 
 
 def oversample(df: DataFrame, label: str, key: str) -> DataFrame:
-    """Repeat rows until every class has the size of the largest; ``copy`` counts from 1."""
-    counts = fit_counts(df, label)
-    largest = max(counts.values())
-    whole = lookup({c: largest // n for c, n in counts.items()}, "int", F.col(label))
+    """Repeat rows until every class, NULL among them, has the size of the largest; ``copy`` counts from 1."""
+    counts = class_sizes(df, label)
+    largest = max(counts.values(), default=0)
+    whole = lookup({c: largest // n for c, n in counts.items()}, "int", class_name(label))
     extra = first_by_hash(df, label, key, F.lit(largest) % F.col("group_rows"))
     return df.withColumn("copy", F.explode(F.sequence(F.lit(1), whole + extra.cast("int"))))
 

@@ -23,7 +23,6 @@ from veldt.plans.models import (
     credit,
     fraud_split,
     kmeans_sql,
-    rents,
     shoppers,
 )
 from veldt.plans.registry import query, table
@@ -40,39 +39,11 @@ def p_fraud(spark, folder):
 
 @query("p_news_topics")
 def p_news_topics(spark, folder):
-    """Language of whole documents: logistic regression, and calibrated linear machines, over term vectors."""
-    docs = p.cleaned(table(spark, folder, "documents").select("doc_id", "lang", "text"), "text")
+    """Language of whole documents: logistic regression and linear machines over term weights, searched and compared."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     langs = fit_categories(docs, "lang")
-    docs = f.ordinal(docs, "lang", langs, "label")
-    docs = f.split(docs, "doc_id", 0.25, "label")
-    train, test = docs.filter("split = 'train'"), docs.filter("split = 'test'")
-    vectors = p.term_vectors(train, train, "text")
-    vectors = mo.stratified_folds(vectors, "doc_id", "label", 3)
-    test = p.term_vectors(train, test, "text")
-    search, _ = t.grid_search_vectors(
-        vectors,
-        C.LogisticRegression(maxIter=20),
-        "label",
-        "term_vector",
-        {"regParam": [0.0, 0.01]},
-        "accuracy",
-        "fold",
-        3,
-    )
-    with training_cache(vectors.select("label", "fold", "term_vector")) as rows:
-        scored = mo.calibrated(rows, test, "label", "term_vector", "fold", 3, mo.machine())
-    scored = scored.withColumnRenamed("term_vector", mo.FEATURES)
-    scored = mo.predict_vectors(search.bestModel, scored, "by_logistic")
-    shares = F.array(*[F.col(f"p_{i}") for i in range(len(langs))])
-    scored = scored.withColumn("by_svm", F.array_position(shares, F.array_max(shares)) - 1)
-    names = ["by_logistic", "by_svm"]
-    scored = scored.select("label", *[F.col(n).cast("int").alias(n) for n in names])
-    rows = []
-    for name in names:
-        macro = m.macro_scores(scored, "label", name).first()["f1_macro"]
-        rows.append((name, m.accuracy(scored, "label", name).first()["accuracy"], macro))
-    columns = {"model": "string", "accuracy": "double", "f1_macro": "double"}
-    return rounded(small_frame(spark, columns, rows))
+    docs = f.ordinal(docs, "lang", langs, "label").filter("label IS NOT NULL")
+    return rounded(p.topic_report(docs, "doc_id", "text", "label", len(langs)))
 
 
 @query("p_online_purchase")
@@ -126,27 +97,33 @@ def p_online_purchase(spark, folder):
     return rounded(small_frame(spark, columns, rows))
 
 
+CHURN_COLUMNS = ["recency", "frequency", "amount", "c_acctbal"]
+
+
 @query(
     "p_churn_prep",
-    """WITH r AS (SELECT c_custkey, c_acctbal, datediff('day', max(o_orderdate)::DATE, DATE '2001-08-01') AS recency,
-count(*)::DOUBLE AS frequency, sum(o_totalprice) / 1000 AS amount FROM customer JOIN orders ON c_custkey = o_custkey
-GROUP BY 1, 2), d AS (SELECT *, (recency > 200)::INTEGER AS churned FROM r),
-l AS (UNPIVOT (SELECT churned, frequency, amount, c_acctbal FROM d) ON frequency, amount, c_acctbal INTO NAME "column" VALUE v)
-SELECT churned, "column", count(v) AS n, round(avg(v), 5) AS mean, round(stddev_samp(v), 5) AS std,
+    """WITH r AS (SELECT c_custkey, c_acctbal, datediff('day', max(o_orderdate)::DATE, DATE '2001-08-01')::DOUBLE AS recency,
+count(o_orderkey)::DOUBLE AS frequency, coalesce(sum(o_totalprice) / 1000, 0) AS amount
+FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2000-10-01') ON c_custkey = o_custkey
+GROUP BY 1, 2), d AS (SELECT *, (recency IS NULL OR recency > 200)::INTEGER AS churned FROM r),
+l AS (SELECT churned, "column", v FROM (SELECT churned, recency, frequency, amount, c_acctbal FROM d)
+UNPIVOT INCLUDE NULLS (v FOR "column" IN (recency, frequency, amount, c_acctbal)))
+SELECT churned, "column", count(v) AS n, count(*) - count(v) AS missing, round((count(*) - count(v)) / count(*), 5) AS missing_rate,
+round(avg(v), 5) AS mean, round(stddev_samp(v), 5) AS std,
 round(min(v), 5) AS "min", round(max(v), 5) AS "max" FROM l GROUP BY 1, 2""",
 )
 def p_churn_prep(spark, folder):
+    """The churn base with all customers, those without a recent order too: gaps and summary per class and column."""
     customers = table(spark, folder, "customer").select("c_custkey", "c_acctbal")
-    orders = table(spark, folder, "orders").select(
+    orders = table(spark, folder, "orders").filter("o_orderdate >= TIMESTAMP_NTZ '2000-10-01'")
+    orders = orders.select(
         F.col("o_custkey").alias("c_custkey"),
         "o_orderdate",
         (F.col("o_totalprice") / 1000).alias("spend"),
     )
-    base = eda.churn_features(
-        orders, customers, "c_custkey", "o_orderdate", "spend", "2001-08-01", 200
-    )
-    base = base.filter("frequency > 0").withColumn("frequency", F.col("frequency").cast("double"))
-    return rounded(eda.profile_by(base, "churned", ["frequency", "amount", "c_acctbal"]), 5)
+    base = eda.churn_features(orders, customers, "c_custkey", "o_orderdate", "spend", "2001-08-01", 200)
+    base = base.withColumns({c: F.col(c).cast("double") for c in ("recency", "frequency")})
+    return rounded(p.churn_profile(base, "churned", CHURN_COLUMNS), 5)
 
 
 @query(
@@ -192,38 +169,32 @@ RIDGE_ALPHA, LASSO_ALPHA = 50000.0, 20.0
 
 @query(
     "p_rent_regression",
-    """WITH r AS (SELECT l_quantity AS x, l_extendedprice / 1000 + l_quantity AS y FROM lineitem),
-m AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS sxy, var_pop(x) AS sxx FROM r),
+    """WITH r AS (SELECT l_orderkey % 4 = 0 AS held, l_quantity AS x, l_extendedprice / 1000 + l_quantity AS y FROM lineitem),
+m AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS sxy, var_pop(x) AS sxx FROM r WHERE NOT held),
 b AS (SELECT 'linear' AS model, sxy / sxx AS b, mx, my FROM m UNION ALL
  SELECT 'ridge', sxy / (sxx + 50000.0 / n), mx, my FROM m UNION ALL
  SELECT 'lasso', sign(sxy) * greatest(abs(sxy) - 20.0, 0) / sxx, mx, my FROM m UNION ALL
  SELECT 'elastic', sign(sxy) * greatest(abs(sxy) - 10.0, 0) / (sxx + 10.0), mx, my FROM m),
 q AS (SELECT avg(x) AS mx, avg(x * x) AS mz, avg(y) AS my, var_pop(x) AS xx, var_pop(x * x) AS zz,
- covar_pop(x, x * x) AS xz, covar_pop(x, y) AS xy, covar_pop(x * x, y) AS zy FROM r),
+ covar_pop(x, x * x) AS xz, covar_pop(x, y) AS xy, covar_pop(x * x, y) AS zy, 1 / (1 - pow(corr(x, x * x), 2)) AS vif FROM r WHERE NOT held),
 w AS (SELECT mx, mz, my, (zz * xy - xz * zy) / (xx * zz - xz * xz) AS b1,
  (xx * zy - xz * xy) / (xx * zz - xz * xz) AS b2 FROM q),
-t AS (SELECT model, y, my + b * (x - mx) AS p FROM r, b UNION ALL
- SELECT 'polynomial', y, my + b1 * (x - mx) + b2 * (x * x - mz) FROM r, w)
-SELECT model, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse, round(avg(abs(y - p)), 4) AS mae,
-round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 4) AS r2 FROM t GROUP BY 1""",
+t AS (SELECT model, held, y, my + b * (x - mx) AS p FROM r, b UNION ALL
+ SELECT 'polynomial', held, y, my + b1 * (x - mx) + b2 * (x * x - mz) FROM r, w),
+s AS (SELECT model, held, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
+1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)) AS r2 FROM t GROUP BY 1, 2)
+SELECT a.model, round(a.rmse, 4) AS train_rmse, round(b.rmse, 4) AS rmse, round(b.rmse - a.rmse, 4) AS gap, round(b.mae, 4) AS mae,
+round(b.r2, 4) AS r2, round(CASE WHEN a.model = 'polynomial' THEN vif ELSE 1 END, 4) AS vif
+FROM s a JOIN s b ON a.model = b.model AND NOT a.held AND b.held, q""",
 )
 def p_rent_regression(spark, folder):
-    rows = f.poly(rents(spark, folder), ["x"], 2)
-    curve = mo.linear(rows, "y", ["x", "x*x"])
-    models = {
-        "linear": mo.linear(rows, "y", ["x"]),
-        "ridge": mo.ridge(rows, "y", ["x"], RIDGE_ALPHA),
-        "lasso": mo.lasso(rows, "y", ["x"], LASSO_ALPHA),
-        "elastic": mo.elastic(rows, "y", ["x"], LASSO_ALPHA, 0.5),
-    }
-    out = None
-    for name, model in models.items():
-        scored = mo.predict(model, rows, ["x"])
-        row = m.regression_metrics(scored, "y", "prediction").withColumn("model", F.lit(name))
-        out = row if out is None else out.unionByName(row)
-    scored = mo.predict(curve, rows, ["x", "x*x"])
-    row = m.regression_metrics(scored, "y", "prediction").withColumn("model", F.lit("polynomial"))
-    return rounded(out.unionByName(row), 4)
+    """Five regressions fitted on one side and judged on the other, with the gap and the columns' collinearity."""
+    rents = table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") % 4 == 0).alias("held"),
+        F.col("l_quantity").alias("x"),
+        (F.col("l_extendedprice") / 1000 + F.col("l_quantity")).alias("y"),
+    )
+    return rounded(p.regression_report(rents, "held", "y", "x", RIDGE_ALPHA, LASSO_ALPHA), 4)
 
 
 @query("p_ecommerce_mart", STAR_SQL)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table of its own in the checkpoint folder, read back from there; it survives lost executors."""
+    spark = df.sparkSession
+    use_checkpoints(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def unstored(df: DataFrame) -> None:
+    """Remove a table that ``stored`` made and nothing reads any more."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(files[0].rpartition("/")[0])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scattered(df: DataFrame) -> DataFrame:
     """A table just read, over all cores, when its files have fewer splits than there are cores.
 

@@ -36,6 +36,7 @@ ORIGINAL = {PREFIX: 0, MIDDLE: 1, SUFFIX: 2}
 UNITS = 4096
 PLAIN_FROM, SUFFIX_FIRST_BELOW = 90, 20
 BATCH = 1000
+PART_CHARACTERS = 1 << 26
 
 
 class Plan(NamedTuple):
@@ -129,8 +130,10 @@ def output_order(docs: DataFrame, doc_id: str, text: str) -> RDD:
     rows = docs.select(
         F.xxhash64(doc_id, text).alias("row"), F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text")
     )
-    keyed = rows.rdd.mapPartitions(emitted)
-    return keyed.repartitionAndSortWithinPartitions(parts_for(docs), owner)
+    # a partition is sorted as a whole, so their number follows the characters
+    characters = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    parts = parts_for(docs, -(-characters // PART_CHARACTERS))
+    return rows.rdd.mapPartitions(emitted).repartitionAndSortWithinPartitions(parts, owner)
 
 
 def original_order(pieces: RDD, parts: int) -> RDD:

@@ -56,6 +56,29 @@ def test_stages_on_edges(spark, edges, nothing):
     assert not {6, 11} & set(ids) and ids.count(8) == 1 and {1, 2, 3, 5, 7, 9, 10, 12} <= set(ids) and ids.count(None) == 2
 
 
+def test_nothing_is_lost_under_one_identifier(spark):
+    calls = [
+        ("1", "a", "find", '{"q":"x"}', None), ("1", "a", "find", '{"q":"y"}', None), ("1", "a", "find", '{"q":"y"}', None),
+        ("a/b", "c", "find", '{"q":"1"}', None), ("a", "b/c", "find", '{"q":"2"}', None), (None, "c", "find", '{"q":"3"}', None),
+        ("null", "c", "find", '{"q":"4","q":"5"}', None), ("2", "r", "find", '{"q":"z"}', None),
+    ]
+    results = [("1", "a", "one"), ("1", "a", "two"), ("1", "a", "two"), ("a/b", "c", "first"), ("a", "b/c", "second"), (None, "c", "third"), ("2", "r", None)]
+    schemas = spark.createDataFrame([("find", "q", "string", True)], "name string, field string, type string, required boolean")
+    out = tools.linked(
+        spark.createDataFrame(calls, "conv_id string, call_id string, name string, arguments string, after string"),
+        spark.createDataFrame(results, "conv_id string, call_id string, content string"), schemas,
+    )
+    found = sorted(
+        ((r.conv_id, r.call_id, r.status, r.copies, r.n_results, tuple(r.errors), json.loads(r.call_json)["arguments"],
+          r.result_json and json.loads(r.result_json)["content"]) for r in out.collect()), key=repr)
+    assert found == sorted([
+        ("1", "a", "linked", 1, 1, ("conflict",), {"q": "x"}, "one"), ("1", "a", "linked", 1, 2, ("conflict",), {"q": "x"}, "two"),
+        ("1", "a", "conflict", 2, 0, ("conflict",), {"q": "y"}, None), ("a/b", "c", "linked", 1, 1, (), {"q": "1"}, "first"),
+        ("a", "b/c", "linked", 1, 1, (), {"q": "2"}, "second"), (None, "c", "linked", 1, 1, (), {"q": "3"}, "third"),
+        ("null", "c", "unanswered", 1, 0, ("arguments cannot be read",), '{"q":"4","q":"5"}', None), ("2", "r", "linked", 1, 1, (), {"q": "z"}, None),
+    ], key=repr)
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     out = corpus_pipeline.run(spark, FOLDER)
@@ -67,8 +90,18 @@ def test_pipeline(spark):
 
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_module.queries())
-    assert sum(k.startswith("op") for k in entry_module.queries()) == 10
+    assert sum(k.startswith("op") for k in entry_module.queries()) == 13
     native = ("tools", "contamination")
     for module in native:
         text = open(os.path.join(os.path.dirname(queries.__file__), f"{module}.py")).read()
         assert not any(x in text for x in ("udf", "mapIn", "applyIn", "map_rows", ".rdd"))
+
+
+def test_stages_keep_the_values_of_columns_named_like_outputs(spark, labels):
+    names = ["score", "grade", "p_toxic", "expected_severity", "kept", "spans", "n_bytes", "_row", "_text", "_doc", "_spans", "row"]
+    rows = [(i, f"document number {i} with a text of its own, long enough for shingles {i * i}", *[f"{n}{i}" for n in names]) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    for stage in (stages.toxic, stages.near_dedup, stages.repeated_passages, stages.decontamination):
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns
+        assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names)

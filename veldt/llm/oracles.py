@@ -55,21 +55,26 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 
 TOOL_CALLS = """
 WITH RECURSIVE c AS (
-  SELECT conv_id, turn, min(struct_pack(role := role, text := text)) AS b, count(*) AS copies FROM conversations
-  WHERE role <> 'assistant' OR role IS NULL GROUP BY ALL
+  SELECT conv_id, turn, struct_pack(role := role, text := text) AS b, count(*) AS copies,
+    row_number() OVER (PARTITION BY conv_id, turn ORDER BY role NULLS FIRST, CAST(to_json(text) AS VARCHAR) NULLS FIRST) AS place,
+    count(*) OVER (PARTITION BY conv_id, turn) AS variants
+  FROM conversations WHERE role <> 'assistant' OR role IS NULL GROUP BY conv_id, turn, role, text
+), n AS (
+  SELECT conv_id, turn FROM c WHERE place = 1
 ), r AS (
-  SELECT conv_id, turn - 1 AS turn, min(text) AS content, count(*) AS n_results FROM conversations WHERE role = 'assistant' GROUP BY ALL
+  SELECT conv_id, turn - 1 AS turn, text AS content, count(*) AS n_results FROM conversations WHERE role = 'assistant' GROUP BY ALL
 ), depth AS (
-  SELECT conv_id, turn, CAST(0 AS BIGINT) AS depth FROM c WHERE (conv_id, turn - 2) NOT IN (SELECT conv_id, turn FROM c)
-  UNION ALL SELECT c.conv_id, c.turn, depth + 1 FROM depth JOIN c ON c.conv_id = depth.conv_id AND c.turn = depth.turn + 2
+  SELECT conv_id, turn, CAST(0 AS BIGINT) AS depth FROM n WHERE (conv_id, turn - 2) NOT IN (SELECT conv_id, turn FROM n)
+  UNION ALL SELECT n.conv_id, n.turn, depth + 1 FROM depth JOIN n ON n.conv_id = depth.conv_id AND n.turn = depth.turn + 2
 ), rows AS (
-  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, 'call-' || coalesce(c.turn, r.turn) AS call_id, depth, c.turn AS turn, b, content,
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, 'call-' || coalesce(c.turn, r.turn) AS call_id, depth, c.turn AS turn, b, content, place,
     coalesce(copies, 0) AS copies, coalesce(n_results, 0) AS n_results,
-    CASE WHEN c.turn IS NULL THEN 'no call' WHEN b.role = 'user' THEN '' WHEN b.role = 'system' THEN 'unknown follows' ELSE 'unknown tool' END AS errors
+    concat_ws(',', CASE WHEN c.turn IS NULL THEN 'no call' WHEN b.role = 'user' THEN NULL WHEN b.role = 'system' THEN 'unknown follows' ELSE 'unknown tool' END,
+      CASE WHEN variants > 1 THEN 'conflict' END) AS errors
   FROM c LEFT JOIN depth ON depth.conv_id = c.conv_id AND depth.turn = c.turn
-  FULL JOIN r ON r.conv_id = c.conv_id AND r.turn = c.turn
+  FULL JOIN r ON r.conv_id = c.conv_id AND r.turn = c.turn AND place = 1
 )
-SELECT conv_id, call_id, depth, CASE WHEN turn IS NULL THEN 'orphan' WHEN n_results = 0 THEN 'unanswered' ELSE 'linked' END AS status,
+SELECT conv_id, call_id, depth, CASE WHEN turn IS NULL THEN 'orphan' WHEN place > 1 THEN 'conflict' WHEN n_results = 0 THEN 'unanswered' ELSE 'linked' END AS status,
   copies, n_results, errors = '' AS valid, errors,
   CASE WHEN turn IS NOT NULL THEN '{"arguments":{"follows":' || CASE WHEN turn > 0 THEN 'true' ELSE 'false' END || ',"query":' || CAST(to_json(b.text) AS VARCHAR)
     || ',"turn":' || turn || '},"id":"' || call_id || '","name":"' || b.role || '","type":"call"}' END AS call_json,

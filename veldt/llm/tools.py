@@ -4,11 +4,16 @@ DataFrame operations only. Calls and results are joined by conversation and iden
 call; its depth in that forest is found by doubling the reach of every reference, so a chain of n calls takes log2(n)
 joins, and (depth, identifier) is a topological order. Canonical JSON has sorted keys and no blanks.
 
-Defined results: of rows that share conversation and identifier, the least (name, arguments, reference) counts, and the
-copies are counted; a null conversation is one of its own; calls without identifier are left out; arguments that are
-not a JSON object, unknown tools, missing, unknown or wrongly typed arguments are errors; a reference that no call has
-makes a root; calls in or behind a circle have a null depth and an error; results without a call come out as
-``orphan`` rows. Empty tables give no rows. Extra columns are ignored.
+Nothing is lost: equal calls and equal results are merged and counted, different ones under one identifier stay rows of
+their own. Of different calls, the one with the least (name, arguments, reference) is the identifier's call: it gives the
+reference and takes the results, a row for each different one; the others have the status ``conflict``, and all of them
+the error. So an identifier that a third of all rows share gives no more rows than it has calls and results.
+
+Defined results: a null conversation is one of its own, apart from one named like it; calls and results without
+identifier are left out; arguments that are not a JSON object, repeat a key, unknown tools, missing, unknown or wrongly
+typed arguments are errors, and arguments that cannot be written as canonical JSON are written as the text they are; a
+reference that no call has makes a root; calls in or behind a circle have a null depth and an error; results without a
+call come out as ``orphan`` rows. Empty tables give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +31,9 @@ KINDS = {
 
 
 def link_key(conv: str, call: str) -> Column:
-    return F.concat(F.coalesce(F.col(conv).cast("string"), F.lit("null")), F.lit("/"), F.col(call))
+    """One text for a conversation and an identifier; the conversation's length keeps the two apart."""
+    name = F.col(conv).cast("string")
+    return F.concat(F.coalesce(F.concat(F.length(name).cast("string"), F.lit(":"), name), F.lit("-")), F.lit("/"), F.col(call))
 
 
 def canonical(json: Column) -> Column:
@@ -73,29 +80,37 @@ def linked(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFram
     """Calls (conv_id, call_id, name, arguments, after) with results (conv_id, call_id, content) and argument schemas
     (name, field, type, required).
 
-    A row per call: conv_id, call_id, depth, status (linked, unanswered, orphan), copies, n_results, valid, errors,
-    call_json, result_json.
+    A row per different call, and for the call that has them a row per different result: conv_id, call_id, depth, status
+    (linked, unanswered, conflict, orphan), copies (equal calls), n_results (equal results), valid, errors, call_json,
+    result_json.
     """
+    every = calls.filter("call_id IS NOT NULL").groupBy("conv_id", "call_id", "name", "arguments", "after").agg(F.count("*").alias("copies"))
+    every = every.withColumn("key", link_key("conv_id", "call_id"))
     body = F.struct("name", "arguments", "after")
-    one = calls.filter("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min(body).alias("b"), F.count("*").alias("copies"))
-    one = one.select("conv_id", "call_id", "copies", "b.*").withColumn("key", link_key("conv_id", "call_id"))
-    one = one.withColumn("after", link_key("conv_id", "after"))
-    answers = results.filter("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min("content").alias("content"), F.count("*").alias("n_results"))
+    least = every.groupBy("key").agg(F.min(body).alias("least"), F.count("*").alias("variants"))
+    nodes = least.join(every, "key").filter(body.eqNullSafe(F.col("least"))).select("key", link_key("conv_id", "after").alias("after"))
+    answers = results.filter("call_id IS NOT NULL").groupBy("conv_id", "call_id", "content").agg(F.count("*").alias("n_results"))
     answers = answers.withColumn("key", link_key("conv_id", "call_id")).withColumnsRenamed({"conv_id": "conv2", "call_id": "call2"})
     fields = schemas.groupBy("name").agg(F.sort_array(F.collect_set(F.struct("field", "type", "required"))).alias("fields"))
-    rows = one.join(depths(one.select("key", "after")), "key").join(fields, "name", "left").join(answers, "key", "full")
+    one = every.join(least, "key").join(depths(nodes), "key").join(fields, "name", "left")
+    # only the identifier's own call meets the results
+    one = one.withColumn("answered", F.when(body.eqNullSafe(F.col("least")), F.col("key")))
+    rows = one.drop("key").join(answers, F.col("answered") == F.col("key"), "full")
     rows = rows.withColumn("given", F.from_json("arguments", "map<string,variant>"))
     is_call = F.col("call_id").isNotNull()
+    unread = F.try_parse_json("arguments").isNull()
     errors = (
         F.when(~is_call, F.array(F.lit("no call")))
         .when(F.col("fields").isNull(), F.array(F.lit("unknown tool")))
         .when(F.col("given").isNull(), F.array(F.lit("arguments are not an object")))
+        .when(unread, F.array(F.lit("arguments cannot be read")))
         .otherwise(argument_errors(F.col("fields"), F.col("given")))
     )
     errors = F.when(is_call & F.col("depth").isNull(), F.concat(errors, F.array(F.lit("circle")))).otherwise(errors)
-    status = F.when(~is_call, "orphan").when(F.col("n_results").isNull(), "unanswered").otherwise("linked")
+    errors = F.when(is_call & (F.col("variants") > 1), F.concat(errors, F.array(F.lit("conflict")))).otherwise(errors)
+    status = F.when(~is_call, "orphan").when(F.col("answered").isNull(), "conflict").when(F.col("n_results").isNull(), "unanswered").otherwise("linked")
     text = F.concat(
-        F.lit('{"arguments":'), F.coalesce(canonical(F.col("arguments")), F.lit("null")), F.lit(',"id":'), json_text(F.col("call_id")),
+        F.lit('{"arguments":'), F.coalesce(canonical(F.col("arguments")), json_text(F.col("arguments")), F.lit("null")), F.lit(',"id":'), json_text(F.col("call_id")),
         F.lit(',"name":'), F.coalesce(json_text(F.col("name")), F.lit("null")), F.lit(',"type":"call"}'),
     )
     result = F.concat(

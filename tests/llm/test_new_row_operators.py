@@ -11,7 +11,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from veldt.llm import byte_bpe, middle, whitening
+from veldt.llm import byte_bpe, fingerprint, middle, whitening
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -206,3 +206,26 @@ def test_deviation_is_exact_beyond_64_bits():
     n = 10**9
     want = [(n * int(r[0]) - int(total[0])) ** 2 + (n * int(r[1]) - int(total[1])) ** 2 for r in x]
     assert [int(d) for d in whitening.deviations(x, n, total)] == want
+
+
+# fingerprints of long repetitive texts
+
+
+@pytest.mark.parametrize("n", [3_000, 60_000, 100_000, 400_000])
+def test_likeness_of_long_repetitive_texts(n):
+    old, new = "a" * n, fingerprint.edited("a" * n, "b" * n)[0]
+    prints = [fingerprint.of_paragraphs(t.encode()) for t in (old, new)]
+    assert abs(fingerprint.likeness(*prints) - 6 / 7) < 0.02  # 2 * 2/3 / (1 + 4/9 + 1/9)
+    assert fingerprint.Fingerprint.parse(prints[1].text()).text() == prints[1].text()
+
+
+def test_edits_against_plain_strings(spark):
+    rows = [(i, f"text {i}\n" * (i % 7) + "é漢" * i) for i in range(40)]
+    order = sorted(rows, reverse=True)
+    found = {r.doc_id: r for r in fingerprint.with_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for (i, text), (_, after) in zip(order, order[1:] + order[:1]):
+        n = len(text) // 3
+        new = text[: len(text) - n] + after[:n]
+        assert found[i].edited_sha256 == sha(new)
+        assert found[i].edited_fingerprint == fingerprint.of_paragraphs(new.encode()).text()
+        assert found[i].fingerprint == fingerprint.of_paragraphs(text.encode()).text()

@@ -4,8 +4,9 @@ Each paragraph (line) of a text gives a wide vector; a fingerprint is the sum of
 modulo a power of two. So the order of paragraphs does not matter, equal multisets have equal fingerprints, and
 paragraphs are inserted or deleted by adding or subtracting their vectors, without the rest of the text.
 
-The vector has two parts: 32 lanes modulo 2**32, uniform, for equality; and 256 lanes modulo 2**16 that count the
-paragraph's byte windows with random signs, for likeness: the inner product of two fingerprints' second parts estimates
+The vector has two parts: 32 lanes modulo 2**32, uniform, for equality; and 256 lanes modulo 2**32 that count the
+paragraph's byte windows with random signs, for likeness (a lane of any text that a row can hold is far from its
+modulus): the inner product of two fingerprints' second parts estimates
 how many windows they share.
 
 Defined results: a null text is empty; an empty text is one empty paragraph; two empty texts are alike (1.0). Rows are
@@ -52,7 +53,7 @@ class Fingerprint:
     @staticmethod
     def parse(text: str) -> Fingerprint:
         data = base64.b64decode(text)
-        return Fingerprint(np.frombuffer(data[: 4 * EQUAL_LANES], "<u4"), np.frombuffer(data[4 * EQUAL_LANES :], "<u2"))
+        return Fingerprint(np.frombuffer(data[: 4 * EQUAL_LANES], "<u4"), np.frombuffer(data[4 * EQUAL_LANES :], "<u4"))
 
 
 def of_paragraphs(data: bytes) -> Fingerprint:
@@ -73,14 +74,14 @@ def of_paragraphs(data: bytes) -> Fingerprint:
     windows = np.concatenate([span_hashes(h, start, start + GRAM), span_hashes(h, first[short], last[short])])
     signs = ((windows >> U(40)) & U(1)).astype(np.float64) * 2 - 1
     counts = np.bincount((windows & U(ALIKE_LANES - 1)).astype(np.int64), signs, minlength=ALIKE_LANES)
-    return Fingerprint(equal, counts.astype(np.int64).astype(np.uint16))
+    return Fingerprint(equal, counts.astype(np.int64).astype(np.uint32))
 
 
 def likeness(a: Fingerprint, b: Fingerprint) -> float:
     """1 for equal fingerprints; otherwise the estimated share of byte windows in common, 0 to 1."""
     if np.array_equal(a.equal, b.equal) and np.array_equal(a.alike, b.alike):
         return 1.0
-    x, y = a.alike.view(np.int16).astype(np.float64), b.alike.view(np.int16).astype(np.float64)
+    x, y = a.alike.view(np.int32).astype(np.float64), b.alike.view(np.int32).astype(np.float64)
     size = x @ x + y @ y
     return float(min(1.0, max(0.0, 2 * (x @ y) / size))) if size else 0.0
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 from veldt.session import checkpointed, use_checkpoints
 
-__all__ = ["checkpointed", "lower_ascii", "map_rows", "parts_for", "source", "split_of", "written"]
+__all__ = ["checkpointed", "claim", "discarded", "lower_ascii", "map_rows", "parts_for", "source", "split_of", "written"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROWS_PER_CHUNK = 512
@@ -42,11 +42,35 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discarded(df: DataFrame) -> None:
+    """Remove a table that ``written`` made and nothing reads any more."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(files[0].rpartition("/")[0])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def parts_for(df: DataFrame, at_least: int = 1) -> int:
     """A partition count that follows the input: the session's own, or the number of its splits if larger."""
     return max(at_least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
 
 
+_remembered: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, forget: Callable[[], None] | None = None) -> None:
+    """Called in a worker when a task of module ``owner`` begins: what other modules' tasks remembered there goes.
+
+    Workers outlive tasks, and caches that serve the next task of one operator would add up over the operators of a
+    pipeline. ``forget`` drops what the owner itself keeps.
+    """
+    for other in [o for o in _remembered if o != owner]:
+        _remembered.pop(other)()
+    if forget is not None:
+        _remembered[owner] = forget
+
+
 def map_rows(
     df: DataFrame,
     make: Callable[[], Callable[..., tuple]],
@@ -65,6 +89,7 @@ def map_rows(
     arrow = [to_arrow_type(t) for _, t in outputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(make.__module__)
         fn = make()
         for batch in batches:
             for at in range(0, batch.num_rows, chunk):

@@ -14,12 +14,15 @@ rows give repeated rows; an empty table gives an empty table; extra columns are
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
-from veldt.llm.common import checkpointed, map_rows, written
+from veldt.llm.common import checkpointed, claim, map_rows, written
 from veldt.llm.words import blocks, mixed, shingle_sets
 
 WORDS = 5
@@ -28,6 +31,7 @@ BANDS, ROWS = 32, 4
 PIVOT_ROUNDS = 1
 SET_BYTES = 6
 BITMAP_BITS = 2048
+FILTER_BITS, FILTER_PROBES = 1 << 26, 4
 STEP = 2048
 
 
@@ -104,18 +108,48 @@ def only_in(x: str, y: str) -> Column:
     return F.aggregate(lacking, F.lit(0), lambda total, k: total + k)
 
 
-def with_sets(df: DataFrame, text: str, words: int) -> DataFrame:
-    """Add each text's set key, packed set and bitmap."""
+def probes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The bits of a filter of ``size`` bits that stand for a hash, a row each."""
+    steps = np.arange(FILTER_PROBES, dtype=np.uint64)[:, None]
+    return ((mixed(hashes) + steps * (mixed(~hashes) | np.uint64(1))) & np.uint64(size - 1)).astype(np.int64)
 
-    def make():
-        def run(texts):
-            sets = [s for run_of in blocks(texts) for s in shingle_sets(run_of, words)]
-            return [set_key(s) for s in sets], [packed(s) for s in sets], [bitmap(s) for s in sets]
 
-        return run
+def filter_of(keys: DataFrame) -> np.ndarray:
+    """A filter of the hashes in column ``hash``: a flag per bit, 16 bits a hash, ``FILTER_BITS`` at most."""
+    size = min(FILTER_BITS, 1 << max(10, (16 * keys.count()).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.zeros(size, dtype=bool)
+        for batch in batches:
+            flags[probes(batch.column("hash").to_numpy().view(np.uint64), size)] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(flags).tobytes()], pa.binary())], names=["flags"])
+
+    parts = keys.mapInArrow(run, "flags binary").rdd.map(lambda row: np.frombuffer(row["flags"], np.uint8))
+    return np.unpackbits(parts.treeAggregate(np.zeros(size // 8, np.uint8), np.bitwise_or, np.bitwise_or)).astype(bool)
+
+
+def sets_of(docs: DataFrame, keys: DataFrame, words: int) -> DataFrame:
+    """(set_key, shingles, bits) of documents whose id's hash is among ``keys``, and of a few others.
+
+    Texts are passed over where they are instead of being joined with the wanted ids. The filter is bounded; where it
+    fills up (some ten million ids), more sets than wanted are made, and the join on their keys drops those.
+    """
+    flags = docs.sparkSession.sparkContext.broadcast(np.packbits(filter_of(keys)))
+    schema = StructType([StructField("set_key", BinaryType()), StructField("shingles", BinaryType()), StructField("bits", ArrayType(LongType()))])
+    kinds = [pa.binary(), pa.binary(), pa.list_(pa.int64())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(__name__)
+        held = np.unpackbits(flags.value).astype(bool)
+        for batch in batches:
+            hashes = batch.column("hash").to_numpy().view(np.uint64)
+            texts = batch.column("text").take(pa.array(np.flatnonzero(held[probes(hashes, len(held))].all(axis=0))))
+            for at in range(0, len(texts), 128):
+                sets = [s for run_of in blocks(texts.slice(at, 128).to_pylist()) for s in shingle_sets(run_of, words)]
+                made = [set_key(s) for s in sets], [packed(s) for s in sets], [bitmap(s) for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array(m, k) for m, k in zip(made, kinds, strict=True)], names=schema.names)
 
-    outputs = [("set_key", BinaryType()), ("shingles", BinaryType()), ("bits", ArrayType(LongType()))]
-    return map_rows(df, make, [text], outputs, chunk=128)
+    return docs.select(F.xxhash64("doc_id").alias("hash"), "text").mapInArrow(run, schema)
 
 
 def close(df: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -190,9 +224,8 @@ def near_duplicates(
     shared = members.groupBy("band").agg(F.count("*").alias("many")).filter("many > 1").select("band")
     members = written(members.join(shared, "band"))
 
-    reps = members.select(F.col("rep").alias("doc_id")).distinct()
     wanted = members.select("node").distinct()
-    sets = with_sets(plain.filter("doc_id IS NOT NULL").join(reps, "doc_id", "left_semi"), "text", words)
+    sets = sets_of(plain.filter("doc_id IS NOT NULL"), members.select(F.xxhash64("rep").alias("hash")).distinct(), words)
     sets = sets.join(wanted, sets["set_key"] == wanted["node"], "left_semi")
     sets = written(sets.groupBy("set_key").agg(F.first("shingles").alias("shingles"), F.first("bits").alias("bits")))
 

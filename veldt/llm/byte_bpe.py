@@ -25,11 +25,13 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
-from veldt.llm.common import map_rows
+from veldt.llm.common import claim, map_rows
 
 CACHED_CUTS = 1_000_000
 CACHED_BYTES = 64
-WORD_BITS = 256
+WORD = 8
+LOW = (1 << WORD) - 1
+BIT = [1 << i for i in range(1 << WORD)]
 UNASSIGNED, TOP = "\u0378", "\U0010ffff"
 
 
@@ -46,7 +48,7 @@ class RankQueue:
     """Positions by rank: least rank first, then leftmost position. An emptied queue can be used again."""
 
     def __init__(self, ranks: int):
-        self.words = [0] * (ranks // WORD_BITS + 1)
+        self.words = [0] * ((ranks >> WORD) + 1)
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
@@ -56,8 +58,8 @@ class RankQueue:
             heappush(bucket, position)
             return
         self.buckets[rank] = [position]
-        word = rank // WORD_BITS
-        self.words[word] |= 1 << rank % WORD_BITS
+        word = rank >> WORD
+        self.words[word] |= BIT[rank & LOW]
         self.top |= 1 << word
 
     def pop(self) -> tuple[int, int]:
@@ -66,15 +68,15 @@ class RankQueue:
         word = (top & -top).bit_length() - 1
         bits = words[word]
         low = bits & -bits
-        rank = word * WORD_BITS + low.bit_length() - 1
+        rank = (word << WORD) + low.bit_length() - 1
         bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            words[word] = bits ^ low
-            if bits == low:
-                self.top = top & (top - 1)
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        del self.buckets[rank]
+        words[word] = bits ^ low
+        if bits == low:
+            self.top = top & (top - 1)
+        return rank, bucket[0]
 
 
 class Merges(dict):
@@ -108,7 +110,8 @@ class Merges(dict):
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        n, rank_of, queue = len(data), self.ranks.get, self.queue
+        n, rank_of, queue, longest = len(data), self.ranks.get, self.queue, self.longest
+        push, pop = queue.push, queue.pop
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
         waiting = [-1] * (n + 1)  # rank of the pair that starts here, -1 for none
@@ -116,25 +119,30 @@ class Merges(dict):
             rank = rank_of(data[at : at + 2])
             if rank is not None:
                 waiting[at] = rank
-                queue.push(rank, at)
+                push(rank, at)
         while queue.top:
-            rank, at = queue.pop()
+            rank, at = pop()
             if waiting[at] != rank:
                 continue
             middle = after[at]
-            waiting[middle] = -1
+            waiting[middle] = waiting[at] = -1
             after[at] = end = after[middle]
             if end < n:
                 before[end] = at
-            for start, stop in ((before[at], end), (at, after[end] if end < n else -1)):
-                if start < 0:
-                    continue
-                rank = rank_of(data[start:stop]) if 0 < stop - start <= self.longest else None
-                if rank is None:
-                    waiting[start] = -1
-                else:
-                    waiting[start] = rank
-                    queue.push(rank, start)
+                stop = after[end]
+                if stop - at <= longest:
+                    rank = rank_of(data[at:stop])
+                    if rank is not None:
+                        waiting[at] = rank
+                        push(rank, at)
+            start = before[at]
+            if start >= 0:
+                waiting[start] = -1
+                if end - start <= longest:
+                    rank = rank_of(data[start:end])
+                    if rank is not None:
+                        waiting[start] = rank
+                        push(rank, start)
         out, at = [], 0
         while at < n:
             out.append(rank_of(data[at : after[at]]))
@@ -169,6 +177,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     """Add ``ids``: the text's token ids by the rank file at ``path``, an array of integers."""
 
     def make():
+        claim(__name__, vocabulary.cache_clear)
         merges = vocabulary(path, pattern)
         return lambda texts: ([merges.encode(t) for t in texts],)
 
@@ -179,6 +188,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: st
     """Add ``decoded``: the bytes that the ids stand for."""
 
     def make():
+        claim(__name__, vocabulary.cache_clear)
         merges = vocabulary(path, pattern)
         return lambda lists: ([merges.decode(i) for i in lists],)
 

@@ -127,3 +127,28 @@ def test_importance_of_boosted_trees(spark):
 def test_rank_features_by_matrix(table):
     found = {r["feature"]: r["score"] for r in features.rank_features(table, "a", ["b", "c", "d"], "correlation").collect()}
     assert found["d"] is None and found["b"] > 0.8 > found["c"]
+
+
+def test_elimination_drops_planted_noise_first(spark):
+    r = random.Random(9)
+    rows = []
+    for i in range(600):
+        a, b, n1, n2 = r.gauss(0, 1), r.gauss(5, 2), r.gauss(0, 1), r.gauss(100, 30)
+        rows.append((i % 4, a, b, n1, n2, 3 * a - b + r.gauss(0, 0.5)))
+    df = spark.createDataFrame(rows, "fold int, a double, b double, n1 double, n2 double, y double").repartition(3)
+    path, kept = folds.eliminate(df, "y", ["n1", "a", "n2", "b"], "fold")
+    assert {gone for _, _, gone in path[:2]} == {"n1", "n2"} and {"a", "b"} <= set(kept)
+    data = np.array(rows)
+    at = {"a": 1, "b": 2, "n1": 3, "n2": 4}
+    for columns, error, _ in path:
+        errors = []
+        for f in range(4):
+            train, test = data[data[:, 0] != f], data[data[:, 0] == f]
+            x = np.column_stack([np.ones(len(train)), train[:, [at[c] for c in columns]]])
+            w = np.linalg.lstsq(x, train[:, 5], rcond=None)[0]
+            z = np.column_stack([np.ones(len(test)), test[:, [at[c] for c in columns]]])
+            errors.append(math.sqrt(((test[:, 5] - z @ w) ** 2).mean()))
+        assert math.isclose(error, np.mean(errors), rel_tol=1e-9)
+    smaller, names = folds.select_recursively(df, "y", ["n1", "a", "n2", "b"], "fold")
+    assert set(smaller.columns) == {"fold", "y", *names}
+    assert folds.eliminate(df.filter("fold = 1"), "y", ["a", "b"], "fold") == ([], ["a", "b"])

@@ -161,3 +161,14 @@ def test_terms_do_not_share_places(spark):
     places = [i for v in vectors[:40] for i in v.indices]
     assert len(places) == len(set(places)) == vectors[0].size == 40_000
     assert len(vectors[40].indices) == 1 and vectors[40].indices[0] in vectors[0].indices
+
+
+def test_layout_deals_equal_rows_and_keeps_them_all(spark, monkeypatch):
+    monkeypatch.setattr(mo, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(mo, "COPIES", 7)
+    rows = [(1.0, 2.0, 1)] * 900 + [(float(i), 0.5, 0) for i in range(100)]
+    df = mo.assemble(spark.createDataFrame(rows, "x double, z double, y int"), ["x", "z"]).select(mo.FEATURES, "y")
+    dealt = [mo.in_fixed_layout(df.repartition(n)).rdd.glom().collect() for n in (1, 3, 20)]
+    assert dealt[0] == dealt[1] == dealt[2]
+    assert sum(map(len, dealt[0])) == 1000 and len(dealt[0]) == 10 and max(map(len, dealt[0])) < 200
+    assert sum(r["y"] for part in dealt[0] for r in part) == 900

@@ -15,7 +15,7 @@ from pyspark.ml import clustering as K
 from pyspark.ml import regression as R
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ from veldt.functions.fitting import fit_counts, fit_row, literal, small_frame
 from veldt.functions.ordered import hashed_positions
 from veldt.operators.features import standardize
 from veldt.operators.metrics import cost_curve
-from veldt.session import training_cache
+from veldt.session import ROWS_PER_TASK, training_cache
 
 FEATURES = "__features"
 LABEL = "__label"
@@ -59,13 +59,24 @@ def fit(estimator, train: DataFrame, xs: list[str], y: str | None = None, weight
         return estimator.fit(rows)
 
 
-FIXED_PARTS = 64
+#: equal rows that are made in one go when a layout is dealt
+COPIES = 10_000
 
 
 def in_fixed_layout(data: DataFrame) -> DataFrame:
-    """Rows dealt and sorted by their values, so that draws made per partition do not depend on how a table was read."""
-    place = F.xxhash64(*[vector_to_array(F.col(c)) if c == FEATURES else F.col(c) for c in data.columns])
-    return data.repartition(FIXED_PARTS, place).sortWithinPartitions(place)
+    """Rows dealt and sorted by their values, so that draws made per partition do not depend on how a table was read.
+
+    The number of partitions follows the rows. Equal rows are counted before they move and dealt by their number, so a
+    row that a third of the table repeats fills no partition.
+    """
+    plain = data.select(*[vector_to_array(F.col(c)).alias(c) if c == FEATURES else F.col(c) for c in data.columns])
+    parts = max(1, -(-data.count() // ROWS_PER_TASK))
+    counted = plain.groupBy(*data.columns).agg(F.count(F.lit(1)).alias("__n"))
+    runs = counted.withColumn("__run", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / COPIES)))).withColumn("__run", F.col("__run") * COPIES)
+    copies = runs.withColumn("__copy", F.explode(F.sequence(F.col("__run"), F.least(F.col("__n"), F.col("__run") + COPIES) - 1)))
+    place = F.xxhash64(*data.columns, "__copy")
+    dealt = copies.repartition(parts, place).sortWithinPartitions(place)
+    return dealt.select(*[array_to_vector(F.col(c)).alias(c) if c == FEATURES else F.col(c) for c in data.columns])
 
 
 def predict(

@@ -37,6 +37,12 @@ def p_fraud(spark, folder):
     return rounded(report)
 
 
+@query("p_fraud_curves")
+def p_fraud_curves(spark, folder):
+    """The curves and the confusion table behind the figures of ``p_fraud``."""
+    return rounded(p.risk_curves(transactions(spark, folder), "fraud", FULL_XS, "event_id", GRID, COST_FP, COST_FN))
+
+
 @query("p_news_topics")
 def p_news_topics(spark, folder):
     """Language of whole documents: logistic regression and linear machines over term weights, searched and compared."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.sql import functions as F
 
+from veldt.functions.fitting import small_frame
 from veldt.operators import features as f
 from veldt.operators import folds as fo
 from veldt.operators import models as mo
@@ -93,6 +94,23 @@ def grid_search(spark, folder):
     return rounded(fo.ridge_search(rows, "y", ["x", "z"], "fold", ALPHAS))
 
 
+@query("feature_select_recursive")
+def feature_select_recursive(spark, folder):
+    """Columns of a planted rent in the order in which they go, and whether the best set keeps them."""
+    rows = table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") % 5).cast("int").alias("fold"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_discount").alias("discount"),
+        F.col("l_tax").alias("tax"),
+        (F.crc32(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").cast("binary")) % 1000).cast("double").alias("noise"),
+        (F.col("l_extendedprice") / 1000 + F.col("l_quantity") - F.col("l_discount") * 300).alias("y"),
+    )
+    path, kept = fo.eliminate(rows, "y", ["quantity", "discount", "tax", "noise"], "fold")
+    out = [(i + 1, gone, len(columns), error, int(gone in kept)) for i, (columns, error, gone) in enumerate(path)]
+    kinds = {"step": "int", "feature": "string", "columns": "int", "mean_rmse": "double", "kept": "int"}
+    return rounded(small_frame(spark, kinds, out))
+
+
 @query("cross_validate_refit")
 def cross_validate_refit(spark, folder):
     rows = mo.stratified_folds(noisy_purchases(spark, folder), "event_id", "y", 3)

@@ -22,13 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 from sentencepiece import SentencePieceProcessor
 
-from veldt.llm.common import map_rows
+from veldt.llm.common import claim, map_rows
 
 MARK = "▁"
 CUT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 TAIL = re.compile(r"(.*\w)(\W+)", re.DOTALL)
 CACHED_CUTS = 500_000
-CACHED_PAIRS = 2_000_000
+CACHED_PAIRS = 1_000_000
 
 
 class Pieces:
@@ -158,6 +158,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     """Add ``ids``: the text's token ids with begin and end id, packed (see ``unpacked``)."""
 
     def make():
+        claim(__name__, vocabulary.cache_clear)
         pieces = vocabulary(path)
         return lambda texts: ([pieces.encode(t) for t in texts],)
 
@@ -168,6 +169,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     """Add ``text``: what the packed ids stand for."""
 
     def make():
+        claim(__name__, vocabulary.cache_clear)
         pieces = vocabulary(path)
         return lambda packed: ([pieces.decode(p) for p in packed],)
 

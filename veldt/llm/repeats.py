@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from veldt.llm.common import map_rows, parts_for, written
+from veldt.llm.common import claim, map_rows, parts_for, written
 from veldt.llm.words import U, mixed, prefix_hashes, span_hashes
 
 LENGTH = 200
@@ -77,6 +77,7 @@ def occurrences(rows: DataFrame, length: int, size: int) -> DataFrame:
         raise ValueError(f"repeats longer than {SIDE} bytes need more bits for the sides of an anchor")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(__name__)
         schema = pa.schema([(c, pa.int64()) for c in ("doc", "a", "ctx", "at")])
         for batch in batches:
             docs, texts = batch.column("doc"), batch.column("text")
@@ -105,6 +106,7 @@ def surroundings(rows: DataFrame, length: int, size: int) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(__name__)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
@@ -189,6 +191,7 @@ def covered(rows: DataFrame, length: int) -> DataFrame:
                 if right:
                     out.append((anchor, key, left, right))
 
+        claim(__name__)
         anchor, group, out = None, {}, []
         for batch in batches:
             for a, ctx, many, left, right in zip(*(batch.column(c).to_pylist() for c in ("a", "ctx", "many", "left", "right")), strict=True):

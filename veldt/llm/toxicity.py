@@ -57,12 +57,12 @@ def fit_rows(sizes: np.ndarray, buckets: np.ndarray, grades: np.ndarray) -> Seve
     levels = int(grades.max(initial=0))
     if levels == 0:
         return Severity({}, [])
-    used, column = np.unique(buckets, return_inverse=True)
-    often = np.bincount(column, minlength=len(used)) >= LEAST_TEXTS
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    number = np.cumsum(often) - 1
-    inside = often[column]
-    row, column, used = row[inside], number[column[inside]], used[often]
+    often = np.bincount(buckets, minlength=BUCKETS) >= LEAST_TEXTS
+    number = (np.cumsum(often) - 1).astype(np.int32)
+    inside = often[buckets]
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[inside]
+    column, used = number[buckets[inside]], np.flatnonzero(often)
+    del number, often, inside
     share = np.clip([np.mean(grades <= k) for k in range(levels)], 1e-4, 1 - 1e-4)
     first = np.log(share / (1 - share))
     t0, gaps = first[0], np.log(np.maximum(np.diff(first), 1e-3))
@@ -142,9 +142,11 @@ def fit_from_flags(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     model = fit_rows(sizes, buckets, flags)
     if not model.weights:
         return model
-    telling = np.array([b for b, w in model.weights.items() if w > 0])
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    found = np.bincount(row[np.isin(buckets, telling)], minlength=len(sizes))
+    telling = np.zeros(BUCKETS, bool)
+    telling[[b for b, w in model.weights.items() if w > 0]] = True
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    found = np.bincount(row[telling[buckets]], minlength=len(sizes))
+    del row
     middle = np.median(found[flags > 0])
     grades = np.where(flags > 0, 1 + (found > middle), 0)
     return fit_rows(sizes, buckets, grades)

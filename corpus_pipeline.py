@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from veldt.llm import stages
+from veldt.llm.common import discarded, written
 
 STAGES = [
     ("toxicity", stages.toxic),
@@ -19,8 +20,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order, over all documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages in order, over all documents; each stage's rows are stored, and removed when the next are."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+        if before is not None:
+            discarded(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)

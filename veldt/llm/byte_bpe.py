@@ -27,7 +27,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from veldt.llm.common import claim, map_rows
 
-CACHED_CUTS = 1_000_000
+CACHED_CUTS = 700_000
 CACHED_BYTES = 64
 WORD = 8
 LOW = (1 << WORD) - 1
@@ -80,10 +80,11 @@ class RankQueue:
 
 
 class Merges(dict):
-    """A vocabulary of ranks; as a dict it remembers the packed ids of short pre-tokens."""
+    """A vocabulary of ranks; as a dict it remembers the packed ids of short pre-tokens, in two generations."""
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         lines = (line.split() for line in Path(path).read_bytes().splitlines())
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         if any(bytes([b]) not in self.ranks for b in range(256)):
@@ -150,13 +151,17 @@ class Merges(dict):
         return out
 
     def __missing__(self, cut: str) -> bytes:
-        ids = np.array(self.merged(cut.encode()), "<i4").tobytes()
+        ids = self.older.pop(cut, None)
+        if ids is None:
+            ids = np.array(self.merged(cut.encode()), "<i4").tobytes()
         if len(cut) <= CACHED_BYTES:
             self[cut] = ids
         return ids
 
     def encode(self, text: str | None) -> np.ndarray:
         if len(self) > CACHED_CUTS:
+            # what has not come up since the last time goes
+            self.older = dict(self)
             self.clear()
         return np.frombuffer(b"".join(map(self.__getitem__, self.cuts(text or ""))), "<i4")
 

@@ -4,7 +4,7 @@ A text is split by the vocabulary's pattern; each pre-token is merged on its own
 list. Every neighbouring pair whose joined bytes are a token waits in the bucket of that token's rank. A hierarchy of
 bitmaps has a bit for each bucket that holds something, and a bit above for each word that is not zero, so the least
 rank is found by the lowest set bit of a word on each of its two levels. A merge changes two pairs; their old entries stay where they
-are and are skipped when they come up. A pre-token of n bytes costs n log n at most, however it merges.
+are and are skipped when they come up. New pre-tokens of a run of texts are merged in one list and one queue. A pre-token of n bytes costs n log n at most, however it merges.
 
 Defined results: a null text counts as empty and has no ids; null ids decode to no bytes; an id without a token decodes
 to the replacement character; an empty table gives an empty table; repeated rows give repeated rows; extra columns pass
@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 from pathlib import Path
@@ -29,9 +31,12 @@ from veldt.llm.common import claim, map_rows
 
 CACHED_CUTS = 700_000
 CACHED_BYTES = 64
+RUN_CHARACTERS = 1 << 20
+CUTS_AT_ONCE = 20_000
 WORD = 8
 LOW = (1 << WORD) - 1
 BIT = [1 << i for i in range(1 << WORD)]
+EDGE = "\u0100"  # beyond the 256 bytes
 UNASSIGNED, TOP = "\u0378", "\U0010ffff"
 
 
@@ -62,21 +67,28 @@ class RankQueue:
         self.words[word] |= BIT[rank & LOW]
         self.top |= 1 << word
 
+    def least(self) -> int:
+        """The least rank that waits; not to be asked while ``top`` is zero."""
+        word = (self.top & -self.top).bit_length() - 1
+        bits = self.words[word]
+        return (word << WORD) + (bits & -bits).bit_length() - 1
+
+    def drop(self, rank: int) -> None:
+        """The emptied bucket of a rank goes."""
+        del self.buckets[rank]
+        word = rank >> WORD
+        self.words[word] ^= BIT[rank & LOW]
+        if not self.words[word]:
+            self.top ^= 1 << word
+
     def pop(self) -> tuple[int, int]:
-        """The next (rank, position); ``top`` is zero if there is none."""
-        top, words = self.top, self.words
-        word = (top & -top).bit_length() - 1
-        bits = words[word]
-        low = bits & -bits
-        rank = (word << WORD) + low.bit_length() - 1
+        """The next (rank, position)."""
+        rank = self.least()
         bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        del self.buckets[rank]
-        words[word] = bits ^ low
-        if bits == low:
-            self.top = top & (top - 1)
-        return rank, bucket[0]
+        at = heappop(bucket)
+        if not bucket:
+            self.drop(rank)
+        return rank, at
 
 
 class Merges(dict):
@@ -89,7 +101,7 @@ class Merges(dict):
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         if any(bytes([b]) not in self.ranks for b in range(256)):
             raise ValueError("every byte needs a token of its own")
-        self.longest = max(map(len, self.ranks))
+        self.by_text = {token.decode("latin-1"): rank for token, rank in self.ranks.items()}
         self.shown = [b"\xef\xbf\xbd"] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.shown[rank] = token
@@ -106,64 +118,96 @@ class Merges(dict):
         spans = (m.span() for m in self.pattern.finditer(text.translate(self.plain)))
         return [text[a:b] for a, b in spans]
 
-    def merged(self, data: bytes) -> list[int]:
-        """The ids of one pre-token."""
-        whole = self.ranks.get(data)
-        if whole is not None:
-            return [whole]
-        n, rank_of, queue, longest = len(data), self.ranks.get, self.queue, self.longest
-        push, pop = queue.push, queue.pop
+    def merged(self, cuts: list[str]) -> list[list[int]]:
+        """The ids of each pre-token. All stand in one linked list with an edge around each, which no token holds, so
+        that a bucket is opened and closed once for the positions of many."""
+        data = EDGE.join(["", *(c.encode().decode("latin-1") for c in cuts), ""])
+        n, rank_of, queue = len(data), self.by_text.get, self.queue
+        push, buckets = queue.push, queue.buckets
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        waiting = [-1] * (n + 1)  # rank of the pair that starts here, -1 for none
+        waiting: list[int | None] = [None] * n  # rank of the pair that starts here
         for at in range(n - 1):
             rank = rank_of(data[at : at + 2])
             if rank is not None:
                 waiting[at] = rank
-                push(rank, at)
+                bucket = buckets.get(rank)
+                if bucket is None:
+                    push(rank, at)
+                else:
+                    bucket.append(at)  # positions rise, so the bucket stays a heap
         while queue.top:
-            rank, at = pop()
-            if waiting[at] != rank:
-                continue
-            middle = after[at]
-            waiting[middle] = waiting[at] = -1
-            after[at] = end = after[middle]
-            if end < n:
-                before[end] = at
-                stop = after[end]
-                if stop - at <= longest:
-                    rank = rank_of(data[at:stop])
-                    if rank is not None:
-                        waiting[at] = rank
-                        push(rank, at)
-            start = before[at]
-            if start >= 0:
-                waiting[start] = -1
-                if end - start <= longest:
-                    rank = rank_of(data[start:end])
-                    if rank is not None:
-                        waiting[start] = rank
-                        push(rank, start)
-        out, at = [], 0
+            rank = queue.least()
+            bucket, lower = buckets[rank], False
+            while bucket and not lower:
+                at = heappop(bucket)
+                if waiting[at] != rank:
+                    continue
+                middle = after[at]
+                start, end = before[at], after[middle]
+                after[at], before[end], waiting[middle] = end, at, None
+                waiting[at] = made = rank_of(data[at : after[end]])
+                if made is not None:
+                    push(made, at)
+                    lower = made < rank
+                waiting[start] = made = rank_of(data[start:end])
+                if made is not None:
+                    push(made, start)
+                    lower = lower or made < rank
+            if not bucket:
+                queue.drop(rank)
+        out, own, at = [], [], 1
         while at < n:
-            out.append(rank_of(data[at : after[at]]))
+            rank = rank_of(data[at : after[at]])
+            if rank is None:
+                out.append(own)
+                own = []
+            else:
+                own.append(rank)
             at = after[at]
         return out
 
-    def __missing__(self, cut: str) -> bytes:
-        ids = self.older.pop(cut, None)
-        if ids is None:
-            ids = np.array(self.merged(cut.encode()), "<i4").tobytes()
-        if len(cut) <= CACHED_BYTES:
-            self[cut] = ids
-        return ids
+    def learn(self, cuts: Iterable[str]) -> None:
+        """Remember the ids of short pre-tokens, merged together where they are new."""
+        new = []
+        for cut in cuts:
+            if cut not in self and len(cut) <= CACHED_BYTES:
+                ids = self.older.pop(cut, None)
+                if ids is None:
+                    new.append(cut)
+                else:
+                    self[cut] = ids
+        for at in range(0, len(new), CUTS_AT_ONCE):
+            part = new[at : at + CUTS_AT_ONCE]
+            self.update(zip(part, (array("i", ids).tobytes() for ids in self.merged(part)), strict=True))
 
-    def encode(self, text: str | None) -> np.ndarray:
+    def __missing__(self, cut: str) -> bytes:
+        rank = self.ranks.get(cut.encode())
+        return array("i", self.merged([cut])[0] if rank is None else [rank]).tobytes()
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text; texts are cut in runs of bounded length, a longer text is a run of its own."""
+        run, size = [], 0
+        for text in texts:
+            if run and size + len(text or "") > RUN_CHARACTERS:
+                yield from self._encoded(run)
+                run, size = [], 0
+            run.append(text or "")
+            size += len(text or "")
+        yield from self._encoded(run)
+
+    def _encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self) > CACHED_CUTS:
             # what has not come up since the last time goes
             self.older = dict(self)
             self.clear()
-        return np.frombuffer(b"".join(map(self.__getitem__, self.cuts(text or ""))), "<i4")
+        cuts = [self.cuts(t) for t in texts]
+        self.learn(set().union(*cuts))
+        for own in cuts:
+            yield np.frombuffer(b"".join(map(self.__getitem__, own)), np.intc)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return next(self.encode_all([text]))
 
     def decode(self, ids: list[int] | None) -> bytes:
         try:
@@ -184,9 +228,9 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     def make():
         claim(__name__, vocabulary.cache_clear)
         merges = vocabulary(path, pattern)
-        return lambda texts: ([merges.encode(t) for t in texts],)
+        return lambda texts: (list(merges.encode_all(texts)),)
 
-    return map_rows(df, make, [text], [(ids, ArrayType(IntegerType()))], chunk=128)
+    return map_rows(df, make, [text], [(ids, ArrayType(IntegerType()))])
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

@@ -6,8 +6,8 @@ bitmaps has a bit for each bucket that holds something, and a bit above for each
 rank is found by the lowest set bit of a word on each of its two levels. A merge changes two pairs; their old entries stay where they
 are and are skipped when they come up. New pre-tokens of a run of texts are merged in one list and one queue. A pre-token of n bytes costs n log n at most, however it merges.
 
-Defined results: a null text counts as empty and has no ids; null ids decode to no bytes; an id without a token decodes
-to the replacement character; an empty table gives an empty table; repeated rows give repeated rows; extra columns pass
+Defined results: a null text counts as empty and has no ids; null ids decode to no bytes; a null id and an id without a
+token decode to the replacement character; an empty table gives an empty table; repeated rows give repeated rows; extra columns pass
 through, and columns named like an output are replaced.
 """
 
@@ -27,7 +27,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
-from veldt.llm.common import claim, map_rows
+from veldt.llm.common import claim, integer_lists, map_rows
 
 CACHED_CUTS = 700_000
 CACHED_BYTES = 64
@@ -102,7 +102,8 @@ class Merges(dict):
         if any(bytes([b]) not in self.ranks for b in range(256)):
             raise ValueError("every byte needs a token of its own")
         self.by_text = {token.decode("latin-1"): rank for token, rank in self.ranks.items()}
-        self.shown = [b"\xef\xbf\xbd"] * (max(self.ranks.values()) + 1)
+        # one entry more, for every id without a token
+        self.shown = np.full(max(self.ranks.values()) + 2, b"\xef\xbf\xbd", object)
         for token, rank in self.ranks.items():
             self.shown[rank] = token
         self.pattern = regex.compile(pattern)
@@ -209,11 +210,11 @@ class Merges(dict):
     def encode(self, text: str | None) -> np.ndarray:
         return next(self.encode_all([text]))
 
-    def decode(self, ids: list[int] | None) -> bytes:
-        try:
-            return b"".join(map(self.shown.__getitem__, ids or ()))
-        except IndexError:
-            return b"".join(self.shown[i] if 0 <= i < len(self.shown) else b"\xef\xbf\xbd" for i in ids)
+    def decode(self, ids: np.ndarray | list[int] | None) -> bytes:
+        if ids is None or not len(ids):
+            return b""
+        ids, unknown = np.asarray(ids), len(self.shown) - 1
+        return b"".join(self.shown[np.where((ids < 0) | (ids > unknown), unknown, ids)].tolist())
 
 
 @lru_cache(maxsize=1)
@@ -241,4 +242,4 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: st
         merges = vocabulary(path, pattern)
         return lambda lists: ([merges.decode(i) for i in lists],)
 
-    return map_rows(df, make, [ids], [(decoded, BinaryType())], chunk=128)
+    return map_rows(df, make, [ids], [(decoded, BinaryType())], chunk=128, read=integer_lists)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 from veldt.session import checkpointed, use_checkpoints
 
-__all__ = ["checkpointed", "claim", "discarded", "lower_ascii", "map_rows", "parts_for", "source", "split_of", "written"]
+__all__ = ["checkpointed", "claim", "discarded", "integer_lists", "lower_ascii", "map_rows", "parts_for", "source", "split_of", "written"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROWS_PER_CHUNK = 512
@@ -71,17 +72,25 @@ def claim(owner: str, forget: Callable[[], None] | None = None) -> None:
         _remembered[owner] = forget
 
 
+def integer_lists(column: pa.ListArray) -> list[np.ndarray | None]:
+    """Lists of integers as numpy arrays, without a Python number for each; a null entry counts as -1."""
+    values, at = column.values.fill_null(-1).to_numpy(), column.offsets.to_pylist()
+    spans = zip(at[:-1], at[1:], column.is_valid().to_pylist(), strict=True)
+    return [values[a:b] if given else None for a, b, given in spans]
+
+
 def map_rows(
     df: DataFrame,
     make: Callable[[], Callable[..., tuple]],
     inputs: list[str],
     outputs: list[tuple[str, DataType]],
     chunk: int = ROWS_PER_CHUNK,
+    read: Callable[[pa.Array], list] = pa.Array.to_pylist,
 ) -> DataFrame:
     """Add columns computed in Python from ``inputs``, in small Arrow batches; one pass, no shuffle.
 
     ``make`` runs once per task and returns a function of the input columns as lists that returns the output
-    columns as lists. Other columns pass through; an input column named like an output is replaced by it.
+    columns as lists; ``read`` turns an Arrow column into such a list. Other columns pass through; an input column named like an output is replaced by it.
     """
     names = [n for n, _ in outputs]
     kept = [f for f in df.schema.fields if f.name not in names]
@@ -94,7 +103,7 @@ def map_rows(
         for batch in batches:
             for at in range(0, batch.num_rows, chunk):
                 part = batch.slice(at, chunk)
-                made = fn(*(part.column(c).to_pylist() for c in inputs))
+                made = fn(*(read(part.column(c)) for c in inputs))
                 columns = [part.column(f.name) for f in kept]
                 columns += [pa.array(v, t) for v, t in zip(made, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)

@@ -29,9 +29,9 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from veldt.llm.common import claim, integer_lists, map_rows
 
-CACHED_CUTS = 700_000
+CACHED_CUTS = 300_000
 CACHED_BYTES = 64
-RUN_CHARACTERS = 1 << 20
+RUN_CHARACTERS = 1 << 18
 CUTS_AT_ONCE = 20_000
 WORD = 8
 LOW = (1 << WORD) - 1
@@ -231,7 +231,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         merges = vocabulary(path, pattern)
         return lambda texts: (list(merges.encode_all(texts)),)
 
-    return map_rows(df, make, [text], [(ids, ArrayType(IntegerType()))])
+    return map_rows(df, make, [text], [(ids, ArrayType(IntegerType()))], chunk=128)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

@@ -193,6 +193,12 @@ def test_proximity(spark):
     assert [tuple(r) for r in contamination.proximity_matches(docs, items, within=5).collect()] == [(1, "7")]
 
 
+def test_proximity_passes_over_words_that_no_document_holds(spark):
+    docs = spark.createDataFrame([(1, "rare a b c unusual"), (2, "rare alone")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "rare unusual neverseen"), (8, "neverseen rare"), (9, "nothing known")], "item_id long, text string")
+    assert [tuple(r) for r in contamination.proximity_matches(docs, items, within=5).collect()] == [(1, "7")]
+
+
 def test_mixing_counts_and_scores(spark, edges, nothing):
     table = corpus(spark, 11, 300).unionByName(edges.select("doc_id", "text"))
     table = table.withColumn("held_out", table["doc_id"] % 5 == 2).fillna(False, ["held_out"])

@@ -56,14 +56,14 @@ def positional_index(rows: DataFrame, terms: DataFrame) -> DataFrame:
     return written(found.join(known_terms(terms), "term", "left_semi"))
 
 
-def by_rarity(windows: DataFrame, index: DataFrame) -> DataFrame:
-    """(wid, words, first, second): the two rarest terms of each window with their offsets; windows with a term that
-    never occurs are left out."""
+def by_rarity(windows: DataFrame, index: DataFrame, skip_absent: bool = False) -> DataFrame:
+    """(wid, words, first, second): the two rarest terms of each window with their offsets. Windows with a term that
+    never occurs are left out; with ``skip_absent`` only such terms are, and the rarest of the others stand."""
     placed = windows.select("wid", "words").distinct()
     placed = placed.select("wid", "words", F.posexplode("words").alias("off", "word"))
     placed = placed.withColumn("term", F.xxhash64("word")).drop("word")
     known = index.groupBy("term").agg(F.count("*").alias("cf"))
-    placed = placed.join(known, "term", "left").groupBy("wid", "words")
+    placed = placed.join(known, "term", "inner" if skip_absent else "left").groupBy("wid", "words")
     ranked = placed.agg(F.array_sort(F.collect_list(F.struct(F.coalesce("cf", F.lit(0)).alias("cf"), "off", "term"))).alias("t"))
     return ranked.filter("t[0].cf > 0").select(
         "wid", "words", F.col("t")[0].alias("first"), F.get("t", F.lit(1)).alias("second")
@@ -133,13 +133,16 @@ def contamination(docs: DataFrame, items: DataFrame, **names) -> DataFrame:
 
 def proximity_matches(docs: DataFrame, items: DataFrame, within: int, doc_id: str = "doc_id", text: str = "text",
                       item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, item): documents where the two rarest terms of an item stand at most ``within`` words apart."""
+    """(doc_id, item): documents where the two rarest terms of an item stand at most ``within`` words apart.
+
+    Terms that no document holds are passed over; an item with fewer than two different terms left has no match.
+    """
     rows = keyed(docs, doc_id, text)
     whole = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), words_of(F.col(item_text)).alias("words"))
     whole = whole.select("item", F.array_distinct("words").alias("words")).withColumn("wid", F.xxhash64("item", "words"))
     terms = whole.select(F.explode("words").alias("word")).select(F.xxhash64("word").alias("term")).distinct()
     index = positional_index(rows, terms)
-    ranked = by_rarity(whole, index).filter("second IS NOT NULL").join(whole.select("wid", "item").distinct(), "wid")
+    ranked = by_rarity(whole, index, skip_absent=True).filter("second IS NOT NULL").join(whole.select("wid", "item").distinct(), "wid")
     cell = F.floor(F.col("pos") / (within + 1))
     left = index.join(ranked.select(F.col("first.term").alias("term"), F.col("second.term").alias("other"), "item"), "term")
     left = left.select("doc", "other", "item", F.col("pos").alias("p"), F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))

@@ -172,3 +172,19 @@ def test_layout_deals_equal_rows_and_keeps_them_all(spark, monkeypatch):
     assert dealt[0] == dealt[1] == dealt[2]
     assert sum(map(len, dealt[0])) == 1000 and len(dealt[0]) == 10 and max(map(len, dealt[0])) < 200
     assert sum(r["y"] for part in dealt[0] for r in part) == 900
+
+
+def test_tasks_of_a_fit_grow_slower_than_its_rows():
+    from veldt.session import EVEN_TASKS, MOST_ROWS_PER_TASK, ROWS_PER_TASK, tasks_for
+
+    assert [tasks_for(n) for n in (0, 1, ROWS_PER_TASK, ROWS_PER_TASK + 1)] == [1, 1, 1, 2]
+    assert tasks_for(EVEN_TASKS * ROWS_PER_TASK) == tasks_for(EVEN_TASKS * MOST_ROWS_PER_TASK) == EVEN_TASKS
+    assert tasks_for(10 * EVEN_TASKS * MOST_ROWS_PER_TASK) == 10 * EVEN_TASKS
+
+
+def test_a_training_cache_of_many_rows_has_few_partitions(spark, monkeypatch):
+    from veldt import session
+
+    monkeypatch.setattr(session, "EVEN_TASKS", 4)
+    with session.training_cache(spark.range(0, 10 * session.ROWS_PER_TASK, 1, 16)) as rows:
+        assert rows.rdd.getNumPartitions() == 4 and rows.count() == 10 * session.ROWS_PER_TASK

@@ -24,7 +24,7 @@ from veldt.functions.fitting import fit_counts, fit_row, literal, small_frame
 from veldt.functions.ordered import hashed_positions
 from veldt.operators.features import standardize
 from veldt.operators.metrics import cost_curve
-from veldt.session import ROWS_PER_TASK, training_cache
+from veldt.session import ROWS_PER_TASK, tasks_for, training_cache
 
 FEATURES = "__features"
 LABEL = "__label"
@@ -70,7 +70,7 @@ def in_fixed_layout(data: DataFrame) -> DataFrame:
     row that a third of the table repeats fills no partition.
     """
     plain = data.select(*[vector_to_array(F.col(c)).alias(c) if c == FEATURES else F.col(c) for c in data.columns])
-    parts = max(1, -(-data.count() // ROWS_PER_TASK))
+    parts = tasks_for(data.count(), ROWS_PER_TASK)
     counted = plain.groupBy(*data.columns).agg(F.count(F.lit(1)).alias("__n"))
     runs = counted.withColumn("__run", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / COPIES)))).withColumn("__run", F.col("__run") * COPIES)
     copies = runs.withColumn("__copy", F.explode(F.sequence(F.col("__run"), F.least(F.col("__n"), F.col("__run") + COPIES) - 1)))

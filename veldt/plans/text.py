@@ -66,5 +66,5 @@ ORDER BY mean_weight DESC, term)::INTEGER AS position FROM m QUALIFY position <=
 )
 def tfidf_topterms(spark, folder):
     docs = documents(spark, folder)
-    weights = t.tfidf(docs, "doc_id", "text", STOP)
+    weights = t.tfidf_cells(docs, "doc_id", "text", STOP)
     return rounded(t.top_terms(weights, docs, "doc_id", "lang", 15))

@@ -60,3 +60,12 @@ def test_penalised_regression_reads_rows_once(spark):
     lines = table(spark, FOLDER, "lineitem").select("l_quantity", "l_discount", "l_extendedprice")
     model = mo.ridge(lines, "l_extendedprice", ["l_quantity", "l_discount"], 10.0)
     assert model.getSolver() == "normal"
+
+
+def test_credit_tree_sums_the_orders_once(spark, monkeypatch):
+    from veldt.plans import projects
+
+    seen, split = [], projects.f.split
+    monkeypatch.setattr(projects.f, "split", lambda df, *a: seen.append(df) or split(df, *a))
+    projects.p_credit_tree(spark, FOLDER)
+    assert "Aggregate" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()

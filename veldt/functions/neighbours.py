@@ -134,33 +134,34 @@ def nearest(df: DataFrame, columns: list[str], k: int) -> DataFrame:
         f"{doubles}, {', '.join(f'{n} double' for n in near)}, d2 double, copies long, search int"
     )
 
-    def rows_of(query, d2, at, copies) -> dict:
-        data = {c: np.full(len(d2), v) for c, v in zip(columns, query)}
-        data |= {n: at[:, j] for j, n in enumerate(near)}
-        return data | {"d2": d2, "copies": copies, "search": np.full(len(d2), -1, dtype=np.int32)}
+    def rows_of(queries, found) -> pd.DataFrame:
+        """A row per (query, neighbour); ``found`` has (query, squared distances, neighbours, copies) of each query."""
+        if not found:
+            return pd.DataFrame(columns=[*columns, *near, "d2", "copies", "search"])
+        query, d2, at, copies = zip(*found)
+        here, at = queries[np.repeat(query, [len(d) for d in d2])], np.concatenate(at)
+        data = {c: here[:, j] for j, c in enumerate(columns)} | {n: at[:, j] for j, n in enumerate(near)}
+        return pd.DataFrame(data | {"d2": np.concatenate(d2), "copies": np.concatenate(copies), "search": np.int32(-1)})
 
     def within(frame: pd.DataFrame) -> pd.DataFrame:
         here = frame[columns].to_numpy()
         leaf = int(frame["leaf"].iloc[0])
-        out = []
-        for i, d2, at, copies in _closest(here, here, frame["copies"].to_numpy(), k, True):
-            out.append(pd.DataFrame(rows_of(here[i], d2, at, copies)))
-            reach = d2[-1] if copies.sum() >= k else np.inf
-            others = cuts.reached(here[i], reach)
-            others = others[others != leaf]
-            if len(others):
-                ask = {c: np.full(len(others), v) for c, v in zip(columns, here[i])}
-                out.append(pd.DataFrame(ask | {"search": others.astype(np.int32)}))
+        found, reached = list(_closest(here, here, frame["copies"].to_numpy(), k, True)), []
+        for i, d2, _, copies in found:
+            others = cuts.reached(here[i], d2[-1] if copies.sum() >= k else np.inf)
+            reached.append(others[others != leaf])
+        out = [rows_of(here, found)]
+        if sum(map(len, reached)):
+            asking = here[np.repeat([i for i, *_ in found], [len(r) for r in reached])]
+            search = np.concatenate(reached).astype(np.int32)
+            out.append(pd.DataFrame({c: asking[:, j] for j, c in enumerate(columns)} | {"search": search}))
         return pd.concat(out).reindex(columns=[*columns, *near, "d2", "copies", "search"])
 
     def across(asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame(columns=[*columns, *near, "d2", "copies", "search"])]
-        if len(asked) and len(there):
-            queries, points_there = asked[columns].to_numpy(), there[columns].to_numpy()
-            counts = there["copies"].to_numpy()
-            for i, d2, at, copies in _closest(queries, points_there, counts, k, False):
-                out.append(pd.DataFrame(rows_of(queries[i], d2, at, copies)))
-        return pd.concat(out[1:] or out)
+        if not len(asked) or not len(there):
+            return rows_of(None, [])
+        queries = asked[columns].to_numpy()
+        return rows_of(queries, list(_closest(queries, there[columns].to_numpy(), there["copies"].to_numpy(), k, False)))
 
     first = checkpointed(placed.groupBy("leaf").applyInPandas(within, found_schema))
     asked = first.filter("search >= 0").select(*columns, F.col("search").alias("leaf"))

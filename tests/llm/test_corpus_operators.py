@@ -235,6 +235,24 @@ def test_mixing_learns(spark):
     assert ((p > 0) & (p < 1)).all() and p[bits].mean() > 0.8 > 0.2 > p[~bits].mean()
 
 
+def test_mixing_learns_from_every_block(spark, monkeypatch):
+    """Fifty blocks teach about what one block of the same texts does, whatever partitions the texts came in."""
+    rng = random.Random(5)
+    syllables = ["".join(rng.choices("abcdefghijklmnop", k=4)) for _ in range(60)]
+    word = lambda: "".join(rng.choices(syllables, k=4))
+    rows = [(i, " ".join(word() for _ in range(6)), i % 7 == 2) for i in range(600)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+
+    def scores(docs):
+        return {r.doc_id: r.score for r in mixing.score(docs).filter("held_out").collect()}
+
+    one = scores(table)
+    monkeypatch.setattr(mixing, "BLOCK_BYTES", 1200)
+    many, dealt = scores(table.repartition(1)), scores(table.repartition(7))
+    assert many == dealt
+    assert sum(many.values()) > 1.25 * sum(one.values())
+
+
 def test_hashes_of_spans():
     data = np.frombuffer(b"abcabc", np.uint8)
     h = prefix_hashes(data)

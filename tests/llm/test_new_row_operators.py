@@ -42,6 +42,24 @@ def test_very_long_pretokens(merges, library, text):
     assert merges.encode(text).tolist() == library.encode_ordinary(text)
 
 
+def test_short_pretokens_need_no_queue(library, monkeypatch):
+    merges = byte_bpe.Merges(RANKS, public_tokenizers.PATTERN)
+    monkeypatch.setattr(merges.queue, "push", lambda *pair: pytest.fail("a short pre-token went through the queue"))
+    words = [hashlib.sha256(str(i).encode()).hexdigest()[: 1 + i % 32].translate(str.maketrans("0123456789", "ghijklmnop")) for i in range(3000)]
+    cuts = {w for word in words for w in (word, f" {word[:31]}", f"{word[:9]}é", word[:5] * 6)}
+    merges.learn(cuts)
+    for cut in cuts:
+        assert np.frombuffer(dict.get(merges, cut), np.intc).tolist() == library._encode_single_piece(cut)
+
+
+@settings(max_examples=300, deadline=None)
+@given(cuts=st.lists(st.text(min_size=1, max_size=40) | st.text("ab the", min_size=1, max_size=33), min_size=1, max_size=30, unique=True))
+def test_rows_and_queue_merge_alike(merges, cuts):
+    short = [c for c in cuts if len(c.encode()) <= 32]
+    rows = [np.frombuffer(ids, np.intc).tolist() for ids in merges.merged_rows([c.encode() for c in short], 32)] if short else []
+    assert rows == [merges.merged([c])[0] for c in short]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 70_000), st.integers(0, 50)), max_size=80), st.data())
 def test_queue_gives_least_rank_then_leftmost(pairs, data):

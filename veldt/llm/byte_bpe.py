@@ -5,6 +5,7 @@ list. Every neighbouring pair whose joined bytes are a token waits in the bucket
 bitmaps has a bit for each bucket that holds something, and a bit above for each word that is not zero, so the least
 rank is found by the lowest set bit of a word on each of its two levels. A merge changes two pairs; their old entries stay where they
 are and are skipped when they come up. New pre-tokens of a run of texts are merged in one list and one queue. A pre-token of n bytes costs n log n at most, however it merges.
+Those of up to 32 bytes, nearly all, are rows of one matrix instead: in each step every row makes its own next merge.
 
 Defined results: a null text counts as empty and has no ids; null ids decode to no bytes; a null id and an id without a
 token decode to the replacement character; an empty table gives an empty table; repeated rows give repeated rows; extra columns pass
@@ -33,6 +34,8 @@ CACHED_CUTS = 300_000
 CACHED_BYTES = 64
 RUN_CHARACTERS = 1 << 18
 CUTS_AT_ONCE = 20_000
+ROW_BYTES = (12, 32)  # widths of the matrices for short pre-tokens
+NO_MERGE = np.iinfo(np.int32).max
 WORD = 8
 LOW = (1 << WORD) - 1
 BIT = [1 << i for i in range(1 << WORD)]
@@ -106,6 +109,13 @@ class Merges(dict):
         self.shown = np.full(max(self.ranks.values()) + 2, b"\xef\xbf\xbd", object)
         for token, rank in self.ranks.items():
             self.shown[rank] = token
+        self.filler = len(self.shown) - 1
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        halves = [(self.ranks.get(t[:i]), self.ranks.get(t[i:]), rank) for t, rank in self.ranks.items() for i in range(1, len(t))]
+        pairs = np.array(sorted((a * len(self.shown) + b, rank) for a, b, rank in halves if a is not None and b is not None), np.int64).reshape(-1, 2)
+        #: neighbours whose joined bytes are a token, in order, and that token's rank; one key more, beyond all others
+        self.pair_keys = np.append(pairs[:, 0], np.iinfo(np.int64).max)
+        self.pair_ranks = np.append(pairs[:, 1], NO_MERGE).astype(np.int32)
         self.pattern = regex.compile(pattern)
         newer = newer_characters()
         self.plain = dict.fromkeys(map(ord, newer), UNASSIGNED)
@@ -168,6 +178,40 @@ class Merges(dict):
             at = after[at]
         return out
 
+    def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of the token that each two neighbours make."""
+        keys = left.astype(np.int64) * len(self.shown) + right
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], np.int32(NO_MERGE))
+
+    def merged_rows(self, cuts: list[bytes], width: int) -> list[bytes]:
+        """The packed ids of each pre-token of at most ``width`` bytes; a row of ids each, filled up on the right."""
+        columns, filler = np.arange(width), np.int32(self.filler)
+        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        data = np.frombuffer(b"".join([c.ljust(width, b"\0") for c in cuts]), np.uint8).reshape(-1, width)
+        ids = np.where(columns < sizes[:, None], self.single[data], filler)
+        left, own = np.arange(len(cuts)), ids
+        ranks = self.joined(own[:, :-1], own[:, 1:])
+        while len(left):
+            at = ranks.argmin(axis=1)
+            made = np.take_along_axis(ranks, at[:, None], 1)[:, 0]
+            open_ = made < NO_MERGE
+            if not open_.all():
+                ids[left[~open_]] = own[~open_]
+                left, own, ranks, at, made = left[open_], own[open_], ranks[open_], at[open_], made[open_]
+            rows, later = np.arange(len(left)), columns > at[:, None]
+            own = np.column_stack([np.where(later[:, :-1], own[:, 1:], own[:, :-1]), np.full(len(left), filler)])
+            own[rows, at] = made
+            ranks = np.column_stack([np.where(later[:, :-2], ranks[:, 1:], ranks[:, :-1]), np.full(len(left), np.int32(NO_MERGE))])
+            ranks[rows, at] = self.joined(made, own[rows, at + 1])
+            inner = np.flatnonzero(at)
+            before = at[inner] - 1
+            ranks[inner, before] = self.joined(own[inner, before], made[inner])
+        given = ids != filler
+        ends = (given.sum(axis=1).cumsum() * ids.itemsize).tolist()
+        packed = ids[given].astype(np.intc).tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
     def learn(self, cuts: Iterable[str]) -> None:
         """Remember the ids of short pre-tokens, merged together where they are new."""
         new = []
@@ -179,8 +223,15 @@ class Merges(dict):
                 else:
                     self[cut] = ids
         for at in range(0, len(new), CUTS_AT_ONCE):
-            part = new[at : at + CUTS_AT_ONCE]
-            self.update(zip(part, (array("i", ids).tobytes() for ids in self.merged(part)), strict=True))
+            rest, least = new[at : at + CUTS_AT_ONCE], 0
+            for width in ROW_BYTES:
+                part = [c for c in rest if least < len(c.encode()) <= width]
+                if part:
+                    self.update(zip(part, self.merged_rows([c.encode() for c in part], width), strict=True))
+                least = width
+            part = [c for c in rest if len(c.encode()) > least]
+            if part:
+                self.update(zip(part, (array("i", ids).tobytes() for ids in self.merged(part)), strict=True))
 
     def __missing__(self, cut: str) -> bytes:
         rank = self.ranks.get(cut.encode())

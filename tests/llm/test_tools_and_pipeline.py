@@ -5,7 +5,9 @@ import os
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
-from veldt.llm import queries, stages, tools
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
+from veldt.llm import common, queries, stages, tools
 
 FOLDER = os.environ.get("VELDT_TEST_FOLDER", "/root/testdata/sf0.001")
 
@@ -105,3 +107,14 @@ def test_stages_keep_the_values_of_columns_named_like_outputs(spark, labels):
         out = stage(spark, docs, FOLDER)
         assert out.columns == docs.columns
         assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names)
+
+
+def test_workers_get_small_batches(spark):
+    """A partition does not reach a worker as one batch, unless the session says so."""
+    rows = spark.range(5_000).coalesce(1)
+    sizes = common.map_rows(rows, lambda: lambda ids: ([len(ids)] * len(ids),), ["id"], [("n", LongType())], chunk=10_000)
+    assert sizes.agg(F.max("n")).first()[0] == 1_000
+    own, name = spark.newSession(), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own.conf.set(name, 77)
+    common.small_batches(own)
+    assert int(own.conf.get(name)) == 77

@@ -263,3 +263,18 @@ def test_hashes_of_spans():
 def test_digest_columns(spark):
     assert hashlib.sha256(b"").hexdigest() == spark.sql("SELECT sha2('', 256)").first()[0]
     assert zlib.crc32(b"12") == spark.sql("SELECT crc32(cast('12' as binary))").first()[0]
+
+
+def test_shingles_of_many_texts_need_little_memory_at_once():
+    import tracemalloc
+
+    from veldt.llm import words
+
+    texts = [" ".join(f"w{(i * 7919 + j * j) % 5000}" for j in range(600)) for i in range(1200)]
+    words.powers(1)
+    tracemalloc.start()
+    sizes = [len(s) for run in words.blocks(texts) for s in words.shingle_sets(run, 5)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sizes == [len(s) for t in texts for s in words.shingle_sets([t.encode()], 5)]
+    assert peak < 20 << 20

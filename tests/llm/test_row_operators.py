@@ -38,6 +38,23 @@ def test_pieces_equal_the_library(text):
     assert own.decode(ids) == MODEL.decode(true_ids(text))
 
 
+def test_what_pieces_remember_is_bounded_within_a_text(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHED_CUTS", 50)
+    monkeypatch.setattr(pieces, "CACHED_PAIRS", 40)
+    own, text = pieces.Pieces(PATH), " ".join(f"word{i % 300}, ne{i % 7}xt" for i in range(2000))
+    for t in (text, "short", text[::-1]):
+        assert np.frombuffer(own.encode(t), "<u4").tolist() == true_ids(t)
+        assert len(own.cuts) <= 50 and len(own.pairs) <= 40
+
+
+def test_scores_do_not_depend_on_what_is_remembered(spark, edges, monkeypatch):
+    model = toxicity.Severity({b: 0.5 for w in ("word3", "passage", "text", "and") for b in toxicity.features_of(w)}, [0.2])
+    monkeypatch.setattr(toxicity, "KNOWN_WORDS", 1 << 20)
+    plain = toxicity.severity(edges, model).select("score").collect()
+    monkeypatch.setattr(toxicity, "KNOWN_WORDS", 2)
+    assert toxicity.severity(edges, model).select("score").collect() == plain
+
+
 def test_severity_grades(spark, edges, nothing, labels):
     rng = random.Random(1)
     words = [f"w{a}{b}" for a in "abcdefgh" for b in "klmnop"]

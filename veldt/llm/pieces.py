@@ -27,8 +27,9 @@ from veldt.llm.common import claim, map_rows
 MARK = "▁"
 CUT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 TAIL = re.compile(r"(.*\w)(\W+)", re.DOTALL)
-CACHED_CUTS = 500_000
-CACHED_PAIRS = 1_000_000
+#: entries of a generation of remembered cuts and pairs; when one is full it becomes the old one, and that goes
+CACHED_CUTS = 150_000
+CACHED_PAIRS = 250_000
 
 
 class Pieces:
@@ -63,7 +64,9 @@ class Pieces:
             self.automaton.add_word(piece, piece)
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.old_pairs: dict[tuple[str, str], bool] = {}
         self.cuts: dict[str, bytes] = {}
+        self.old_cuts: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Best-ranked, then leftmost merge first, for the few characters of a pair test."""
@@ -82,9 +85,12 @@ class Pieces:
     def side_by_side(self, left: str, right: str) -> bool:
         known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) > CACHED_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+            known = self.old_pairs.get((left, right))
+            if known is None:
+                known = self.merged(left + right) == ([left, right] if left else [right])
+            if len(self.pairs) >= CACHED_PAIRS:
+                self.pairs, self.old_pairs = {}, self.pairs
+            self.pairs[left, right] = known
         return known
 
     def tokens(self, cut: str) -> list[str]:
@@ -93,12 +99,11 @@ class Pieces:
         for at, piece in self.automaton.iter(cut):
             ending[at + 1].append(piece)
         last = [""] * (len(cut) + 1)
-        pairs = self.pairs
         for end in range(1, len(cut) + 1):
             for piece in ending[end]:
                 before = last[end - len(piece)]
                 if before or end == len(piece):
-                    known = pairs.get((before, piece))
+                    known = self.pairs.get((before, piece))
                     if known or known is None and self.side_by_side(before, piece):
                         last[end] = piece
                         break
@@ -115,6 +120,9 @@ class Pieces:
         ids = self.cuts.get(cut)
         if ids is not None:
             return ids
+        ids = self.old_cuts.get(cut)
+        if ids is not None:
+            return self.remembered(cut, ids)
         tail = TAIL.fullmatch(cut)
         if tail and tail[1][-1] + tail[2][0] not in self.joined:
             ids = self.packed(tail[1]) + self.packed(tail[2])
@@ -127,18 +135,19 @@ class Pieces:
                 else:
                     found.append(known)
             ids = np.array(found, "<u4").tobytes()
-        if len(cut) <= 64:
-            self.cuts[cut] = ids
+        return self.remembered(cut, ids) if len(cut) <= 64 else ids
+
+    def remembered(self, cut: str, ids: bytes) -> bytes:
+        if len(self.cuts) >= CACHED_CUTS:
+            self.cuts, self.old_cuts = {}, self.cuts
+        self.cuts[cut] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:
         """All ids of a text, as little-endian unsigned 32-bit integers."""
-        cuts = self.cuts
-        if len(cuts) > CACHED_CUTS:
-            cuts.clear()
         out = [np.array([self.begin], "<u4").tobytes()]
         for cut in CUT.findall(MARK + text.replace(" ", MARK)) if text else ():
-            out.append(cuts.get(cut) or self.packed(cut))
+            out.append(self.cuts.get(cut) or self.packed(cut))
         out.append(np.array([self.end], "<u4").tobytes())
         return b"".join(out)
 

@@ -29,7 +29,8 @@ LEAST_TEXTS = 5
 PENALTY, LIGHT_PENALTY = 2.0, 0.1
 STEPS = 150
 WORD = re.compile(r"[^\W\d_]+")
-KNOWN_WORDS = 400_000
+#: words of a generation that a task remembers; when one is full it becomes the old one, and that goes
+KNOWN_WORDS = 100_000
 
 
 def features_of(word: str) -> list[int]:
@@ -158,17 +159,22 @@ def severity(docs: DataFrame, model: Severity, text: str = "text") -> DataFrame:
     def make():
         weights = model.weights
         known: dict[str, tuple[int, ...]] = {}
+        old: dict[str, tuple[int, ...]] = {}
 
         def run(texts):
+            nonlocal known, old
             scores = np.zeros(len(texts))
             for i, t in enumerate(texts):
                 found: set[int] = set()
                 for word in set(WORD.findall((t or "").lower())):
                     telling = known.get(word)
                     if telling is None:
-                        if len(known) > KNOWN_WORDS:
-                            known.clear()
-                        telling = known[word] = tuple(f for f in features_of(word) if f in weights)
+                        telling = old.get(word)
+                        if telling is None:
+                            telling = tuple(f for f in features_of(word) if f in weights)
+                        if len(known) >= KNOWN_WORDS:
+                            known, old = {}, known
+                        known[word] = telling
                     if telling:
                         found.update(telling)
                 scores[i] = sum(weights[f] for f in found)

@@ -277,4 +277,4 @@ def test_shingles_of_many_texts_need_little_memory_at_once():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert sizes == [len(s) for t in texts for s in words.shingle_sets([t.encode()], 5)]
-    assert peak < 20 << 20
+    assert peak < 12 << 20

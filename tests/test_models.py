@@ -174,6 +174,18 @@ def test_layout_deals_equal_rows_and_keeps_them_all(spark, monkeypatch):
     assert sum(r["y"] for part in dealt[0] for r in part) == 900
 
 
+def test_a_forest_moves_plain_numbers_and_is_the_same(spark, monkeypatch):
+    rows = [(float(i % 97), i % 13, int(i % 97 > 60 or i % 13 == 4), 1.0 + i % 3) for i in range(3000)]
+    df = spark.createDataFrame(rows, "x double, z int, y int, w double")
+    moved, layout = [], mo.in_fixed_layout
+    monkeypatch.setattr(mo, "in_fixed_layout", lambda d: moved.append(dict(d.dtypes)) or layout(d))
+    model = mo.forest(df, "y", ["x", "z"], trees=3, weight="w")
+    assert not any(kind == "vector" or kind.startswith("array") for kind in moved[0].values())
+    vectors = mo.assemble(df, ["x", "z"]).select(mo.FEATURES, F.col("y").cast("double").alias(mo.LABEL), "w")
+    estimator = mo.C.RandomForestClassifier(numTrees=3, maxDepth=5, seed=7, featuresCol=mo.FEATURES, labelCol=mo.LABEL, weightCol="w")
+    assert estimator.fit(layout(vectors)).toDebugString.split("\n")[1:] == model.toDebugString.split("\n")[1:]
+
+
 def test_tasks_of_a_fit_grow_slower_than_its_rows():
     from veldt.session import EVEN_TASKS, MOST_ROWS_PER_TASK, ROWS_PER_TASK, tasks_for
 

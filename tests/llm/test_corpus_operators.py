@@ -253,6 +253,79 @@ def test_mixing_learns_from_every_block(spark, monkeypatch):
     assert sum(many.values()) > 1.25 * sum(one.values())
 
 
+def test_mixing_codes_known_words_by_mixed_decisions(spark):
+    """Which of two equally frequent words follows ``mid`` depends on the word before it: counts of pairs cannot tell."""
+    rng = random.Random(6)
+    phrases = [["one", "mid", "left"], ["two", "mid", "right"], ["two", "other", "x"], ["two", "other", "y"]]
+    rows = [(i, " ".join(" ".join(rng.choice(phrases)) for _ in range(60)), i % 7 == 2) for i in range(400)]
+    got = {r.doc_id: r.score for r in mixing.score(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")).collect()}
+    sequences = [(i, h, [None, *words(t), None]) for i, t, h in rows]
+    pairs = Counter(p for _, h, w in sequences if not h for p in zip(w[:-1], w[1:], strict=True))
+    heads = Counter(a for _, h, w in sequences if not h for a in w[:-1])
+    for i, h, w in sequences:
+        if h:
+            assert got[i] > sum(math.log10(pairs[p] / heads[p[0]]) for p in zip(w[:-1], w[1:], strict=True))
+
+
+def test_mixing_names_are_a_prefix_code():
+    """The probabilities of all followers that a place can name sum to one, and those of known words to one at most."""
+    rng = np.random.default_rng(3)
+    corpus = mixing.Corpus(100, 40, np.zeros((32, 1), np.int64), np.array([5, 3, 0, 1] + [0] * 28), np.ones(mixing.CELLS, np.int64))
+    models = [mixing.Mixer(*s) for s in mixing.SHAPES]
+    for k in (3, 4):
+        contexts = [rng.integers(0, mixing.CELLS, 40_000) for _ in range(models[k].inputs)]
+        models[k].learn(contexts, rng.integers(0, 16, 40_000), rng.integers(0, 2, 40_000))
+
+    def total(seen, names, about):
+        n = len(names)
+        size, place = np.array(names).T
+        same = np.full(n, 77)
+        code = mixing.Coded(np.full(n, 3), np.full(n, seen), np.full(n, True), same, np.arange(n), np.full(n, about), size, place, 0 * same)
+        cost = np.zeros(n)
+        for k, contexts, gates, bits, owner in mixing.names(code, corpus, np.arange(n)):
+            cost += np.bincount(owner, mixing.cost_of(models[k].predict(contexts, gates), bits), minlength=n)
+        return (10**cost).sum()
+
+    assert abs(total(True, [(c, p) for c in range(4) for p in range(1 << c)], 3 << 3 | 5) - 1) < 1e-4
+    assert 0 < total(False, [(c, p) for c in range(4) for p in range(corpus.often[c])], 0) <= 1
+
+
+def test_mixing_places_by_brute_force():
+    """Ranks of followers with and without one occurrence, and places of words of one magnitude."""
+    rng = random.Random(8)
+    head = np.array(sorted(rng.choices(range(9), k=300)))
+    total = np.array([rng.choice([0, 1, 1, 2, 2, 3, 5, 8]) for _ in head])
+    with_, without, followers = mixing.follower_ranks(head, total, 10)
+    for h in range(10):
+        own = [(int(i), int(total[i])) for i in np.flatnonzero(head == h) if total[i]]
+        assert followers[h] == (len(own).bit_length() - 1 if own else 0)
+        for i, c in own:
+            for counts, found in ((own, with_[i]), ([(j, n - (j == i)) for j, n in own if n > (j == i)], without[i])):
+                order = [j for j, _ in sorted(counts, key=lambda x: (-x[1], x[0]))]
+                assert (int(found) & mixing.RANKS) == (order.index(i) + 1 if i in order else 0)
+                if i in order:
+                    share = sum(n for _, n in counts) // max(n for _, n in counts)
+                    assert int(found) >> mixing.RANK_BITS == min(7, share.bit_length() - 1)
+    place, lower, often = mixing.known_places(total)
+    size = [int(c).bit_length() - 1 for c in total]
+    for i, c in enumerate(total.tolist()):
+        if c:
+            assert place[i] == sum(size[j] == size[i] for j in range(i)) and often[size[i]] == size.count(size[i])
+        if c > 1 and (c - 1).bit_length() < c.bit_length():
+            assert lower[i] == sum(size[j] == size[i] - 1 for j in range(i))
+
+
+def test_mixing_cuts_followers_of_frequent_words(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice([f"often w{rng.randrange(40)}", f"w{rng.randrange(40)}"]) for _ in range(40)), i % 7 == 2) for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    whole = mixing.score(table).toPandas()
+    monkeypatch.setattr(mixing, "HEAD_TOKENS", 1000)
+    assert mixing.slices_of(table).max() > 2
+    cut = mixing.score(table).toPandas()
+    assert 0.9 < cut.score.sum() / whole.score.sum() < 1.1 and (cut.n_known.sum() == whole.n_known.sum())
+
+
 def test_hashes_of_spans():
     data = np.frombuffer(b"abcabc", np.uint8)
     h = prefix_hashes(data)
